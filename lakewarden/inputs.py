@@ -103,14 +103,15 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     modified = F.lit("2024-01-01 00:00:00").cast("timestamp").alias("modified")
     files = entries.where(~F.col("is_dir")).select("path", "is_dir", "length", modified)
-    above = (
-        entries.select(parent_path(F.col("path")).alias("folder"))
+    nearest = F.when(F.col("is_dir"), F.col("path")).otherwise(parent_path(F.col("path")))
+    folders = (
+        entries.select(nearest.alias("folder"))
         .where(F.col("folder").isNotNull())
         .distinct()
         .select("folder", F.explode(F.sequence(F.lit(1), path_depth(F.col("folder")))).alias("depth"))
         .select(leading_parts(F.col("folder"), F.col("depth")).alias("path"))
+        .distinct()
     )
-    folders = entries.where("is_dir").select("path").unionAll(above).distinct()
     zero = F.lit(0).cast("bigint").alias("length")
     return files.unionByName(folders.select("path", F.lit(True).alias("is_dir"), zero, modified))
 

@@ -47,22 +47,20 @@ def folder_rollup(inventory: DataFrame) -> DataFrame:
     Columns: ``dir``; ``listed`` (rows naming the folder itself); ``entries``, ``files`` and
     ``bytes`` at any depth below it; ``max_length`` over itself and everything below it.
     """
-    path, is_dir, length = F.col("path"), F.col("is_dir"), F.col("length")
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    within_parent = F.struct(
-        parent_path(path).alias("dir"),
-        zero.alias("listed"),
-        one.alias("entries"),
-        F.when(is_dir, zero).otherwise(one).alias("files"),
-        F.when(is_dir, zero).otherwise(length).alias("bytes"),
-        length.alias("max_length"),
+    # Each row counts for the folder holding it and, if it is a folder, as a listing of itself.
+    # Separate columns, not structs, so that a report reads only what it shows.
+    twice = inventory.select(
+        "path", "is_dir", "length", F.explode(F.array(F.lit(False), F.lit(True))).alias("itself")
     )
-    itself = F.struct(
-        F.when(is_dir, path).alias("dir"),
-        one.alias("listed"),
-        zero.alias("entries"),
-        zero.alias("files"),
-        zero.alias("bytes"),
+    itself, is_dir, length = F.col("itself"), F.col("is_dir"), F.col("length")
+    is_file_below = ~itself & ~is_dir
+    contributions = twice.where(~itself | is_dir).select(
+        F.when(itself, F.col("path")).otherwise(parent_path(F.col("path"))).alias("dir"),
+        F.when(itself, one).otherwise(zero).alias("listed"),
+        F.when(itself, zero).otherwise(one).alias("entries"),
+        F.when(is_file_below, one).otherwise(zero).alias("files"),
+        F.when(is_file_below, length).otherwise(zero).alias("bytes"),
         length.alias("max_length"),
     )
 
@@ -75,9 +73,7 @@ def folder_rollup(inventory: DataFrame) -> DataFrame:
             F.max("max_length").alias("max_length"),
         )
 
-    per_parent = totals(
-        inventory.select(F.inline(F.array(within_parent, itself))).where(F.col("dir").isNotNull())
-    )
+    per_parent = totals(contributions.where(F.col("dir").isNotNull()))
     # Subtotals count for the folder itself and for each folder above it. ``listed`` belongs to the
     # folder alone.
     depth = path_depth(F.col("dir"))

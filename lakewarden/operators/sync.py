@@ -168,7 +168,9 @@ def plan(sources: DataFrame, targets: DataFrame, config: SyncConfig) -> DataFram
         "storage_location",
         "data_source_format",
     )
-    orphans = status.where(~F.col("in_source")).select(
+    # Filtering on all three flags keeps this branch equal to the one above, so its shuffle is reused.
+    orphaned = F.col("in_target") & ~F.col("in_source") & ~F.col("ambiguous")
+    orphans = status.where(orphaned).select(
         "target",
         F.lit("delete").alias("operation"),
         F.lit("gone").alias("reason"),

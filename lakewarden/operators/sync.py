@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,20 +42,20 @@ class SyncConfig:
     connection_id: str = ""
     object_urls_only: bool = True
     fold_case: bool = False
-    _prefixes: tuple[str, ...] = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
         if not self.schemas:
             raise ValueError("at least one schema is needed")
-        prefixes = tuple(f"{NAME_PREFIX}_{self.catalog}_{schema}_" for schema in self.schemas)
-        if self.fold_case:
-            prefixes = tuple(prefix.lower() for prefix in prefixes)
-        object.__setattr__(self, "_prefixes", prefixes)
 
     def owns(self, target: Column) -> Column:
         """True for names this configuration may delete."""
-        claimed = reduce(Column.__or__, [target.startswith(prefix) for prefix in self._prefixes])
-        return target.startswith(f"{NAME_PREFIX}_") & claimed
+        start, schemas = f"{NAME_PREFIX}_{self.catalog}_", self.schemas
+        if self.fold_case:
+            start, schemas = start.lower(), [schema.lower() for schema in schemas]
+        pattern = f"^{re.escape(start)}(?:{'|'.join(map(re.escape, schemas))})_"
+        # The plain prefix can be pushed into a scan; the pattern tests each name once however many
+        # schemas are managed.
+        return target.startswith(start) & target.rlike(pattern)
 
 
 def union_listings(listings: Iterable[DataFrame]) -> DataFrame:
@@ -75,6 +76,9 @@ def compose_targets(catalog: DataFrame, config: SyncConfig) -> DataFrame:
 
 
 def owned_targets(targets: DataFrame, config: SyncConfig) -> DataFrame:
+    """The registered names this configuration may delete."""
+    if config.fold_case:
+        targets = targets.withColumn("target", F.lower("target"))
     return targets.where(config.owns(F.col("target")))
 
 
@@ -154,6 +158,7 @@ def plan(sources: DataFrame, targets: DataFrame, config: SyncConfig) -> DataFram
     )
     routed = rows.select(
         "target",
+        "schema_name",
         decision.alias("decision"),
         parsed["https"].alias("location"),
         parsed["subpath"].alias("subpath"),
@@ -161,6 +166,7 @@ def plan(sources: DataFrame, targets: DataFrame, config: SyncConfig) -> DataFram
         "data_source_format",
     ).select(
         "target",
+        "schema_name",
         "decision.operation",
         "decision.reason",
         "location",

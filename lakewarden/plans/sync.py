@@ -32,14 +32,23 @@ def sync_catalog(
     config: ops.SyncConfig,
     database: str,
     delete_orphans: bool = True,
+    allow_empty_schemas: bool = False,
 ) -> SyncResult:
     """Plan, then drop orphaned registrations if enabled, then create the missing ones.
 
-    The plan is written to the shared folder first, so that applying it cannot change it.
+    The plan is written to the shared folder first, so that applying it cannot change it. A managed
+    schema without any source table is an error unless ``allow_empty_schemas`` is set: its listing
+    is more likely missing than empty, and every registration made for it would be dropped.
     """
     folder = new_folder(spark, "sync-plan")
     plan_sync(catalog, targets, config).write.parquet(folder)
     planned = spark.read.parquet(folder)
+    if delete_orphans and not allow_empty_schemas:
+        # At most one row per managed schema.
+        listed = {row.schema_name for row in planned.select("schema_name").distinct().collect()}
+        missing = sorted(set(config.schemas) - listed)
+        if missing:
+            raise ValueError(f"the catalog lists no table of {', '.join(missing)}")
     removed = unregister_tables(spark, planned, database) if delete_orphans else None
     outcomes = register_tables(spark, planned, database)
     if removed is not None:

@@ -118,6 +118,16 @@ def test_union_keeps_duplicates(spark):
     assert sync.union_listings([listing, listing, listing]).count() == 3
 
 
+def test_owned_names(spark):
+    config = SyncConfig("go.ld", ("d+w", "mart"))
+    names = ["uc_go.ld_d+w_x", "uc_go.ld_mart_y_z", "uc_goxld_mart_x", "uc_go.ld_ddw_x", "uc_go.ld_martx_y", "x_uc_go.ld_mart_y"]
+    owned = {row.target for row in sync.owned_targets(targets_of(spark, *names), config).collect()}
+    assert owned == {"uc_go.ld_d+w_x", "uc_go.ld_mart_y_z"}
+    folded = SyncConfig("Gold", ("DWH",), fold_case=True)
+    rows = sync.owned_targets(targets_of(spark, "uc_gold_dwh_a", "UC_Gold_DWH_b"), folded).collect()
+    assert {row.target for row in rows} == {"uc_gold_dwh_a", "uc_gold_dwh_b"}
+
+
 def test_config_needs_a_schema():
     with pytest.raises(ValueError, match="schema"):
         SyncConfig("gold", ())

@@ -161,8 +161,9 @@ def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One recorded create attempt per event."""
-    kind = F.get_json_object("props", "$.k").cast("int") % 3
-    target = F.concat(F.lit("uc_"), F.col("user_id").cast("string"))
+    item = F.get_json_object("props", "$.k")
+    kind = item.cast("int") % 3
+    target = F.concat(F.lit("uc_"), F.col("user_id").cast("string"), F.lit("_"), item)
     message = (
         F.when(kind == 0, F.lit(ALREADY_REGISTERED_MESSAGE))
         .when(kind == 1, F.concat(F.lit(ACCESS_DENIED_TEXT), F.lit(" was refused")))

@@ -106,7 +106,7 @@ _EXISTS = "Copy, Rename or Update of shortcuts are not supported by OneLake."
 
 _ATTEMPTS = f"""
 recorded AS (
-  SELECT 'uc_' || user_id AS target, event_id AS attempt, event_type,
+  SELECT 'uc_' || user_id || '_' || json_extract_string(props, '$.k') AS target, event_id AS attempt, event_type,
          CASE event_type WHEN 'view' THEN 201 WHEN 'click' THEN 400 WHEN 'error' THEN 403
                          WHEN 'purchase' THEN 429 ELSE 500 END AS http_status,
          CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 AS kind

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ URL_SCHEME = "abfss://"
 HOST_SUFFIX = ".dfs.core.windows.net"
 BYTES_PER_UNIT = {"GB": 1024**3, "MB": 1024**2}
 
+_SCHEME_AND_HOST = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
 
 def abfss_url(container: Column, account: Column) -> Column:
     """``abfss://<container>@<account>.dfs.core.windows.net``; null if either part is null."""
@@ -44,10 +48,11 @@ def strip_trailing_slash(path: Column) -> Column:
 
 
 def relative_path(path: Column, root: str) -> Column:
-    """The part of ``path`` below ``root``; a scheme may be missing on either side."""
-    bare = root.split("://", 1)[-1] if "://" in root else root.split(":", 1)[-1]
-    bare = bare.rstrip("/") + "/"
-    return F.substr(path, F.instr(path, bare) + F.lit(len(bare)))
+    """The part of ``path`` below the folder ``root``; either may name a scheme and a host."""
+    folder = re.sub(_SCHEME_AND_HOST, "", root).rstrip("/")
+    if not root.startswith("/") and folder == root.rstrip("/"):
+        raise ValueError(f"{root!r} is not an absolute path")
+    return F.substr(F.regexp_replace(path, _SCHEME_AND_HOST, ""), F.lit(len(folder) + 2))
 
 
 def _url_prefix(path: Column, scheme: str) -> Column:

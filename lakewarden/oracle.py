@@ -140,7 +140,7 @@ ORACLE: dict[str, str] = {
     "append_twice": "SELECT o_orderkey, o_orderstatus FROM orders",
     "overwrite_last_wins": "SELECT c_custkey AS id, c_mktsegment AS label FROM customer",
     "preview_top5": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 5",
-    "copy_dataset": "SELECT * EXCLUDE (l_shipdate) FROM lineitem",
+    "copy_dataset": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem",
     "binary_scan": _SALES_FILES,
     "path_parse": f"""
         WITH {_INVENTORY}, storage AS (

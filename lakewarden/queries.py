@@ -92,7 +92,7 @@ def preview_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def copied_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_folder(spark, "copy")
     copy_dataset(spark, f"{sf_dir}/lineitem.parquet", target)
-    return spark.read.parquet(target).drop("l_shipdate")
+    return spark.read.parquet(target).withColumn("l_shipdate", F.col("l_shipdate").cast("date").cast("string"))
 
 
 def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,12 +207,13 @@ def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One listing per schema, each read from its own files, then all of them together."""
+    """One listing per schema, each read from its own files only, then all of them together."""
     export = new_folder(spark, "listings")
     rows = inputs.catalog(spark, sf_dir).withColumn("listing", F.col("schema_name"))
     rows.hint("rebalance", "listing").write.partitionBy("listing").json(export)
+    exported = catalog_snapshot(spark, export)
     listings = [
-        catalog_snapshot(spark, f"{export}/listing={schema}", SyncConfig(CATALOG_NAME, (schema,)))
+        sync.select_schemas(exported.where(F.col("listing") == schema), SyncConfig(CATALOG_NAME, (schema,)))
         for schema in SCHEMAS
     ]
     return sync.union_listings(listings).select("schema_name", "name", "table_type")

@@ -20,18 +20,25 @@ def _quoted(*parts: str) -> str:
 
 def _create(spark: SparkSession, database: str, row: Row) -> tuple[str, str | None]:
     name = _quoted(database, row.target)
-    if spark.catalog.tableExists(name):
+    try:
+        spark.catalog.createTable(name, path=row.storage_location, source=row.data_source_format.lower())
+    except AnalysisException as error:
+        if error.getCondition() != "TABLE_OR_VIEW_ALREADY_EXISTS":
+            raise
         return "skipped", "a table with this name exists"
-    spark.catalog.createTable(name, path=row.storage_location, source=row.data_source_format.lower())
     return "created", None
 
 
 def _drop(spark: SparkSession, database: str, row: Row) -> tuple[str, str | None]:
     name = _quoted(database, row.target)
-    if not spark.catalog.tableExists(name):
+    try:
+        table = spark.catalog.getTable(name)
+    except AnalysisException as error:
+        if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
+            raise
         return "already_absent", None
     # Dropping a managed table would delete its data.
-    if spark.catalog.getTable(name).tableType != "EXTERNAL":
+    if table.tableType != "EXTERNAL":
         return "failed", "not an external table"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     return "deleted", None
@@ -41,7 +48,7 @@ def _attempt(action, spark: SparkSession, database: str, rows: Iterable[Row]) ->
     for row in rows:
         try:
             outcome, message = action(spark, database, row)
-        except (AnalysisException, PySparkException) as error:
+        except PySparkException as error:
             outcome, message = "failed", str(error).split("\n", 1)[0]
         yield row.target, row.operation, outcome, message
 

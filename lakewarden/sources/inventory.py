@@ -29,7 +29,8 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     """Objects below ``root`` as an inventory of files, without reading their content.
 
     Folders, zero-byte objects and objects whose names start with ``_`` or ``.`` are not listed, so
-    this serves sizes but not the search for empty folders.
+    this serves sizes but not the search for empty folders. Spark keeps the file list of a scan on
+    the driver: for a whole lake of small objects read an export with ``inventory`` instead.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob is not None:

@@ -22,14 +22,11 @@ def ingest_new_files(
 
     The checkpoint is the ledger of files; it must lie in storage all executors share. After a
     failure the same call goes on where the last committed batch ended. ``files_per_batch`` bounds
-    one commit when a first run meets a large backlog. A Parquet target must be written by this
-    stream only, because readers then follow the stream's own commit log.
+    one commit when a first run meets a large backlog; the folder is listed once per run. A Parquet
+    target must be written by this stream only, because readers then follow the stream's own commit
+    log.
     """
-    reader = (
-        spark.readStream.schema(schema)
-        .option("header", header)
-        .option("recursiveFileLookup", True)
-    )
+    reader = spark.readStream.schema(schema).option("header", header).option("recursiveFileLookup", True)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.csv(source)

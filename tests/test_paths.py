@@ -60,9 +60,26 @@ def test_parts_parent_and_depth(spark):
     assert one(spark, paths.parent_path(F.col("p")), p="a") is None
 
 
-@pytest.mark.parametrize("root", ["/data/lake", "/data/lake/", "file:/data/lake", "file:///data/lake"])
-def test_relative_path(spark, root):
-    assert one(spark, paths.relative_path(F.col("p"), root), p="file:/data/lake/x/y.csv") == "x/y.csv"
+@pytest.mark.parametrize(
+    ("root", "path"),
+    [
+        ("/data/lake", "file:/data/lake/x/y.csv"),
+        ("/data/lake/", "file:/data/lake/x/y.csv"),
+        ("file:/data/lake", "file:/data/lake/x/y.csv"),
+        ("file:///data/lake", "file:/data/lake/x/y.csv"),
+        ("/lake", "hdfs://lake/lake/x/y.csv"),
+        ("abfss://c@acct/lake", "abfss://c@acct/lake/x/y.csv"),
+        ("abfss://c@acct/", "abfss://c@acct/x/y.csv"),
+        ("/", "file:/x/y.csv"),
+    ],
+)
+def test_relative_path(spark, root, path):
+    assert one(spark, paths.relative_path(F.col("p"), root), p=path) == "x/y.csv"
+
+
+def test_relative_path_needs_an_absolute_root():
+    with pytest.raises(ValueError, match="absolute"):
+        paths.relative_path(F.lit("x"), "lake")
 
 
 def test_path_levels_pad_with_null(spark):

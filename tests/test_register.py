@@ -6,6 +6,7 @@ from lakewarden.operators.sync import SyncConfig
 from lakewarden.plans.sync import sync_catalog
 from lakewarden.schemas import CATALOG_SCHEMA
 from lakewarden.session import new_folder
+from lakewarden.sinks.register import register_tables, unregister_tables
 from lakewarden.sources.catalog import registered_targets
 
 CONFIG = SyncConfig(
@@ -103,3 +104,12 @@ def test_a_missing_listing_deletes_nothing(spark, database, lake):
     assert run(spark, catalog(spark, lake), database, delete_orphans=False).counters.first()["deleted"] == 0
     emptied = run(spark, catalog(spark, lake), database, allow_empty_schemas=True)
     assert emptied.counters.first()["deleted"] == 1
+
+
+def test_applying_a_stale_plan(spark, database, lake):
+    source = catalog(spark, lake, "first")
+    first = run(spark, source, database)
+    again = {row.target: row.outcome for row in register_tables(spark, first.plan, database).collect()}
+    assert again == {"uc_gold_dwh_first": "skipped"}
+    gone = first.plan.selectExpr("concat(target, '_x') AS target", "'delete' AS operation")
+    assert [row.outcome for row in unregister_tables(spark, gone, database).collect()] == ["already_absent"]

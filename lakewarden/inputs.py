@@ -186,3 +186,11 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         status.alias("http_status"),
         body.alias("body"),
     )
+
+
+def removals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One recorded attempt to remove a registration per event."""
+    kind = F.col("event_type")
+    status = F.when(kind == "view", 200).when(kind == "click", 404).when(kind == "purchase", 429).otherwise(500)
+    target = F.concat(F.lit("uc_old_"), F.col("event_id").cast("string"))
+    return table(spark, sf_dir, "events").select(target.alias("target"), status.alias("http_status"))

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.functions.registration import classify_attempt, first_message, parse_response
+from lakewarden.functions.registration import (
+    classify_attempt,
+    classify_removal,
+    first_message,
+    parse_response,
+)
 
 
 def with_outcome(attempts: DataFrame) -> DataFrame:
@@ -21,6 +26,11 @@ def with_outcome(attempts: DataFrame) -> DataFrame:
     )
 
 
+def with_removal_outcome(attempts: DataFrame) -> DataFrame:
+    """Recorded attempts to remove a registration with their outcome."""
+    return attempts.withColumn("outcome", classify_removal(F.col("http_status")))
+
+
 def final_outcomes(classified: DataFrame) -> DataFrame:
     """One outcome per target: its first ``created`` or ``skipped`` attempt, else ``failed``."""
     # Attempt number and outcome in one number, so that the aggregation stays hash-based.

@@ -246,6 +246,11 @@ ORACLE: dict[str, str] = {
     "sync_report": f"WITH {_PLAN} SELECT operation, count(*) AS n FROM routed GROUP BY operation",
     "attempt_classes": f"WITH {_ATTEMPTS} SELECT * FROM classified",
     "attempt_outcomes": f"WITH {_ATTEMPTS} SELECT outcome, count(*) AS n FROM classified GROUP BY outcome",
+    "removal_outcomes": """
+        SELECT CASE event_type WHEN 'view' THEN 'deleted' WHEN 'click' THEN 'already_absent'
+                               WHEN 'purchase' THEN 'throttled' ELSE 'failed' END AS outcome,
+               count(*) AS n
+        FROM events GROUP BY 1""",
     "run_counters": f"""
         WITH {_ATTEMPTS}, settled AS (
           SELECT target, arg_min(outcome, attempt) FILTER (outcome IN ('created', 'skipped')) AS outcome
@@ -253,8 +258,9 @@ ORACLE: dict[str, str] = {
         )
         SELECT count(*) FILTER (outcome = 'created') AS created,
                count(*) FILTER (outcome = 'skipped') AS skipped,
-               count(*) FILTER (outcome IS NULL) AS failed,
-               CAST(0 AS BIGINT) AS deleted
+               count(*) FILTER (outcome IS NULL)
+                 + (SELECT count(*) FROM events WHERE event_type NOT IN ('view', 'click')) AS failed,
+               (SELECT count(*) FROM events WHERE event_type = 'view') AS deleted
         FROM settled""",
     "register_roundtrip": """
         SELECT 'uc_gold_dev_' || lower(replace(p_brand, '#', '')) || '_part' AS target, count(*) AS n_rows

@@ -264,8 +264,14 @@ def attempt_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.count_by(attempt_classes(spark, sf_dir), "outcome")
 
 
+def removal_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.count_by(report.with_removal_outcome(inputs.removals(spark, sf_dir)), "outcome")
+
+
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.run_counters(report.final_outcomes(attempt_classes(spark, sf_dir)))
+    creations = report.final_outcomes(attempt_classes(spark, sf_dir)).select("target", "outcome")
+    removals = report.with_removal_outcome(inputs.removals(spark, sf_dir)).select("target", "outcome")
+    return report.run_counters(creations.unionByName(removals))
 
 
 def register_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "sync_report": sync_report,
     "attempt_classes": attempt_classes,
     "attempt_outcomes": attempt_outcomes,
+    "removal_outcomes": removal_outcomes,
     "run_counters": run_counters,
     "register_roundtrip": register_roundtrip,
 }

@@ -8,11 +8,26 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "lakewarden", master: str | None = None, **conf: str) -> SparkSession:
+# A shuffle partition of this size sorts within the memory of one task.
+SHUFFLE_PARTITION_BYTES = 128 * 1024**2
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Partitions for a shuffle of the given size."""
+    return max(1, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str = "lakewarden",
+    master: str | None = None,
+    shuffle_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with UTC timestamps and adaptive execution.
 
-    Shuffle partition counts are left to the cluster's own settings: adaptive execution coalesces
-    small partitions and splits skewed ones at run time.
+    ``shuffle_bytes`` is the size of the largest shuffle expected. Adaptive execution starts from
+    that many partitions, coalesces small ones and splits skewed ones. Without it the cluster's own
+    settings decide.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -22,6 +37,9 @@ def build_session(app_name: str = "lakewarden", master: str | None = None, **con
     )
     if master is not None:
         builder = builder.master(master)
+    if shuffle_bytes is not None:
+        partitions = shuffle_partitions(shuffle_bytes)
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

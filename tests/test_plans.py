@@ -48,7 +48,8 @@ def hot_rows(spark, n=200_000):
 LAZY = [
     "dir_size_all", "dir_size_root", "dir_size_top", "empty_folders", "exists_probe", "folder_flags", "level_stats",
     "level_values", "max_depth", "path_build", "path_parse", "sync_creations", "sync_deletions", "sync_diff",
-    "sync_plan", "sync_report", "sync_semi", "attempt_classes", "attempt_outcomes", "run_counters",
+    "sync_plan", "sync_report", "sync_semi", "attempt_classes", "attempt_outcomes",
+    "removal_outcomes", "run_counters",
 ]
 
 

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from lakewarden.session import new_folder, shared_folder
+from lakewarden.session import new_folder, shared_folder, shuffle_partitions
 
 
 def test_configured_folder_is_used(spark):
@@ -27,3 +27,8 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 def test_a_local_session_gets_one_folder():
     session = stub("local[2]")
     assert shared_folder(session) == shared_folder(session)
+
+
+def test_shuffle_partitions_follow_the_size():
+    mib = 1024**2
+    assert [shuffle_partitions(size) for size in (0, 1, 128 * mib, 128 * mib + 1, 1280 * mib)] == [1, 1, 1, 2, 10]

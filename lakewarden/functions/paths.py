@@ -35,12 +35,14 @@ def path_parts(path: Column) -> Column:
 
 
 def path_depth(path: Column) -> Column:
-    return F.size(path_parts(path))
+    """Number of components, counted without splitting the text."""
+    return F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit(""))) + 1
 
 
 def parent_path(path: Column) -> Column:
     """The folder holding ``path``; null at the top level."""
-    return F.nullif(leading_parts(path, path_depth(path) - 1), F.lit(""))
+    name = F.substring_index(path, "/", -1)
+    return F.nullif(F.left(path, F.length(path) - F.length(name) - 1), F.lit(""))
 
 
 def strip_trailing_slash(path: Column) -> Column:

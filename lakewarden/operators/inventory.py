@@ -31,6 +31,11 @@ def below(inventory: DataFrame, folder: str) -> DataFrame:
     return inventory.where(is_below(F.col("path"), folder))
 
 
+def is_folder() -> Column:
+    """True for rows listed as folders; a row that does not say is taken for a file."""
+    return F.coalesce(F.col("is_dir"), F.lit(False))
+
+
 def with_flag(df: DataFrame, name: str, value: bool = False) -> DataFrame:
     """Add a constant boolean column."""
     return df.withColumn(name, F.lit(value))
@@ -53,7 +58,7 @@ def folder_rollup(inventory: DataFrame) -> DataFrame:
     twice = inventory.select(
         "path", "is_dir", "length", F.explode(F.array(F.lit(False), F.lit(True))).alias("itself")
     )
-    itself, is_dir, length = F.col("itself"), F.col("is_dir"), F.col("length")
+    itself, is_dir, length = F.col("itself"), is_folder(), F.col("length")
     is_file_below = ~itself & ~is_dir
     contributions = twice.where(~itself | is_dir).select(
         F.when(itself, F.col("path")).otherwise(parent_path(F.col("path"))).alias("dir"),
@@ -94,7 +99,7 @@ def folder_rollup(inventory: DataFrame) -> DataFrame:
 
 def directory_size(inventory: DataFrame, folder: str, unit: str = "GB") -> DataFrame:
     """One row: bytes below ``folder``, exact and in the given unit."""
-    files = below(inventory, folder).where(~F.col("is_dir"))
+    files = below(inventory, folder).where(~is_folder())
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).select(
         F.lit(folder.rstrip("/")).alias("dir"),
         "bytes",
@@ -111,7 +116,7 @@ def directory_sizes(inventory: DataFrame, unit: str = "GB") -> DataFrame:
 def top_level_sizes(inventory: DataFrame) -> DataFrame:
     """Bytes per first path component."""
     return (
-        inventory.where(~F.col("is_dir"))
+        inventory.where(~is_folder())
         .groupBy(leading_parts(F.col("path"), F.lit(1)).alias("dir"))
         .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
     )

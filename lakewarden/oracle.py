@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lakewarden.functions.registration import ACCESS_DENIED_TEXT, ALREADY_REGISTERED_MESSAGE, NO_MESSAGE
+
 _SALES = """
 sales AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS "SalesOrderNumber",
@@ -101,9 +103,6 @@ routed AS (
   FROM sources s FULL JOIN targets t ON s.target = t.target
 )"""
 
-_DENIED = "Unauthorized. Access to target location was refused"
-_EXISTS = "Copy, Rename or Update of shortcuts are not supported by OneLake."
-
 _ATTEMPTS = f"""
 recorded AS (
   SELECT 'uc_' || user_id || '_' || json_extract_string(props, '$.k') AS target, event_id AS attempt, event_type,
@@ -115,9 +114,9 @@ recorded AS (
 classified AS (
   SELECT target, attempt, http_status,
          CASE WHEN http_status = 201 THEN target END AS registered_name,
-         CASE WHEN http_status <> 400 THEN 'No error message found'
-              WHEN kind = 0 THEN '{_EXISTS}'
-              WHEN kind = 1 THEN '{_DENIED}'
+         CASE WHEN http_status <> 400 THEN '{NO_MESSAGE}'
+              WHEN kind = 0 THEN '{ALREADY_REGISTERED_MESSAGE}'
+              WHEN kind = 1 THEN '{ACCESS_DENIED_TEXT} was refused'
               ELSE 'Target path not found' END AS message,
          CASE WHEN http_status = 201 THEN 'created'
               WHEN http_status = 429 THEN 'throttled'

@@ -42,6 +42,14 @@ def test_repeated_listing_rows_give_one_folder(spark):
     assert _paths(find_empty_folders(inventory_of(spark, {}, ["a", "a", "a/b", "a/b"]))) == ["a/b", "a"]
 
 
+def test_a_row_of_unknown_kind_counts_as_a_file(spark):
+    rows = [("a", True, 0), ("a/x", None, 5), ("b", True, 0)]
+    listing = spark.createDataFrame(rows, "path string, is_dir boolean, length bigint")
+    assert _paths(find_empty_folders(listing)) == ["b"]
+    assert inv.directory_size(listing, "a").first()["bytes"] == 5
+    assert {tuple(row) for row in inv.top_level_sizes(listing).collect()} == {("a", 5)}
+
+
 def test_empty_inventory(spark):
     listing = inventory_of(spark)
     assert _paths(find_empty_folders(listing)) == []

@@ -113,3 +113,8 @@ def test_applying_a_stale_plan(spark, database, lake):
     assert again == {"uc_gold_dwh_first": "skipped"}
     gone = first.plan.selectExpr("concat(target, '_x') AS target", "'delete' AS operation")
     assert [row.outcome for row in unregister_tables(spark, gone, database).collect()] == ["already_absent"]
+
+
+def test_a_repeated_source_row_registers_once(spark, database, lake):
+    result = run(spark, catalog(spark, lake, "first", "first", "first"), database)
+    assert result.counters.first().asDict() == {"created": 1, "skipped": 2, "failed": 0, "deleted": 0}

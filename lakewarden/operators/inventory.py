@@ -152,8 +152,14 @@ def max_depth(inventory: DataFrame) -> DataFrame:
 
 
 def sort_by_levels(df: DataFrame, depth: int) -> DataFrame:
-    """Order by ``L0 .. L<depth-1>``, nulls last."""
-    return df.orderBy(*[F.asc_nulls_last(f"L{i}") for i in range(depth)])
+    """Order by ``L0 .. L<depth-1>``, nulls last.
+
+    Rows of one path follow their other columns, so that a path listed many times can be divided
+    between sort ranges and the order does not depend on the run.
+    """
+    levels = [f"L{i}" for i in range(depth)]
+    others = [name for name in df.columns if name not in levels]
+    return df.orderBy(*[F.asc_nulls_last(name) for name in levels + others])
 
 
 def mark_empty_folders(inventory: DataFrame, root: str = "") -> DataFrame:

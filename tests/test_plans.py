@@ -56,7 +56,7 @@ LAZY = [
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_pairwise_joins(spark, name):
     plan = plan_text(QUERIES[name](spark, SF_DIR))
-    for operator in ("Python", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate", "SortAggregate"):
+    for operator in ("Python", "InPandas", "CartesianProduct", "NestedLoopJoin", "ObjectHashAggregate", "SortAggregate"):
         assert operator not in plan
 
 

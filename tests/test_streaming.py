@@ -1,3 +1,7 @@
+import gzip
+
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from lakewarden.schemas import ORDER_SCHEMA
@@ -33,3 +37,17 @@ def test_batches_can_be_bounded(spark, tmp_path):
     assert spark.read.parquet(target).count() == 5
     commits = [file for file in (tmp_path / "ledger" / "commits").iterdir() if file.name.isdigit()]
     assert len(commits) == 3
+
+
+def test_a_failed_run_is_made_up_for(spark, tmp_path):
+    source, target, ledger = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ledger")
+    source.mkdir()
+    (source / "a.csv").write_text(ROW.format(1) + ROW.format(2))
+    broken = source / "b.csv.gz"
+    broken.write_bytes(b"not compressed")
+    with pytest.raises(StreamingQueryException):
+        ingest_new_files(spark, str(source), target, ORDER_SCHEMA, ledger)
+    broken.write_bytes(gzip.compress(ROW.format(3).encode()))
+    for _ in range(2):
+        ingest_new_files(spark, str(source), target, ORDER_SCHEMA, ledger)
+        assert sorted(row.SalesOrderNumber for row in spark.read.parquet(target).collect()) == ["1", "2", "3"]

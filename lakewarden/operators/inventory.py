@@ -18,7 +18,7 @@ from lakewarden.functions.paths import (
     path_depth,
     path_parts,
 )
-from lakewarden.operators.matching import flag_matching
+from lakewarden.operators.matching import flag_listed, flag_matching
 
 
 def is_below(path: Column, folder: str) -> Column:
@@ -183,7 +183,17 @@ def delete_order(folders: DataFrame) -> DataFrame:
     return folders.orderBy(F.desc("depth"), "path")
 
 
-def probe_existence(requests: DataFrame, inventory: DataFrame, key: str = "path") -> DataFrame:
-    """All requested paths with a boolean ``exists``."""
+def probe_existence(
+    requests: DataFrame,
+    inventory: DataFrame,
+    key: str = "path",
+    few_requests: bool = True,
+) -> DataFrame:
+    """All requested paths with a boolean ``exists``.
+
+    Few requests are matched while the inventory is scanned. Turn ``few_requests`` off when they are
+    about as many as the objects: both sides are then shuffled once instead of meeting twice.
+    """
     present = inventory.select(F.col("path").alias(key))
-    return flag_matching(requests, present, key, "exists")
+    match = flag_listed if few_requests else flag_matching
+    return match(requests, present, key, "exists")

@@ -4,9 +4,9 @@ The reference side of a match is reduced to one row per key before it is shuffle
 repeated there collapses inside each map task. The other side keeps its duplicates; if one key holds
 a large share of them, adaptive execution splits that shuffle partition across tasks. It can do so
 only when the join reads both inputs straight from shuffles it added itself, and an aggregate on the
-key alone would be joined without one. ``one_row_per_key`` therefore groups on the key plus a bucket
-derived from it: the groups are the same, the partitioning is not reused, and the join gets its own
-shuffle of the already reduced rows.
+key alone would be joined without one. ``one_row_per_key`` therefore groups on the key plus its hash:
+the groups are the same, the partitioning is not reused, and the join gets its own shuffle of the
+already reduced rows.
 
 Broadcasting is left to the optimizer, which checks sizes at run time.
 """
@@ -16,14 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_BUCKETS = 64
-
 
 def one_row_per_key(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
     """Group by ``key``; the result is laid out so that a later join on ``key`` can be split."""
-    bucket = F.pmod(F.hash(key), F.lit(_BUCKETS)).alias("_bucket")
     aggregates = aggregates or (F.lit(True).alias("_present"),)
-    return df.where(F.col(key).isNotNull()).groupBy(key, bucket).agg(*aggregates).drop("_bucket")
+    grouped = df.where(F.col(key).isNotNull()).groupBy(key, F.xxhash64(key).alias("_hash"))
+    return grouped.agg(*aggregates).drop("_hash")
 
 
 def keep_matching(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -41,3 +39,14 @@ def flag_matching(left: DataFrame, right: DataFrame, key: str, flag: str) -> Dat
     present = one_row_per_key(right.select(key), key, F.lit(True).alias(flag))
     matched = left.join(present, key, "left")
     return matched.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def flag_listed(left: DataFrame, listing: DataFrame, key: str, flag: str) -> DataFrame:
+    """As ``flag_matching``, for a listing that may be far larger than ``left``.
+
+    Rows of the listing that nobody asks for are dropped first; when the keys asked for are few,
+    that happens in the scan and the listing is not shuffled. The rest is laid out by the hash of
+    the key, as ``one_row_per_key`` needs it.
+    """
+    asked_for = keep_matching(listing.select(key), left, key)
+    return flag_matching(left, asked_for.repartition(F.xxhash64(key)), key, flag)

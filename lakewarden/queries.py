@@ -193,8 +193,9 @@ def empty_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exists_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Two requests per page: they outnumber the objects.
     requests = inputs.existence_requests(spark, sf_dir)
-    return inv.probe_existence(requests, inputs.inventory(spark, sf_dir))
+    return inv.probe_existence(requests, inputs.inventory(spark, sf_dir), few_requests=False)
 
 
 # Catalog and registrations

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakewarden.functions.paths import with_path_levels
@@ -81,10 +82,11 @@ def test_flags(spark):
     assert [row.seen for row in rows] == [False, True, False]
 
 
-def test_existence_keeps_every_request(spark):
+@pytest.mark.parametrize("few", [True, False])
+def test_existence_keeps_every_request(spark, few):
     listing = inventory_of(spark, {"a/x": 1, "a/y": 0}, ["a"])
     requests = spark.createDataFrame([("a/x",), ("a/x",), ("a",), ("a/z",), (None,)], "path string")
-    rows = sorted((tuple(row) for row in inv.probe_existence(requests, listing).collect()), key=str)
+    rows = sorted((tuple(row) for row in inv.probe_existence(requests, listing, few_requests=few).collect()), key=str)
     assert rows == sorted([("a/x", True), ("a/x", True), ("a", True), ("a/z", False), (None, False)], key=str)
 
 

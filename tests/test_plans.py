@@ -1,5 +1,7 @@
 """Shape of the physical plans, and balance when one key dominates."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,11 +91,12 @@ def test_hot_key_is_split_in_semi_and_anti_joins(spark, eager_skew_split, match)
     assert result.count() == expected
 
 
-def test_hot_key_is_split_when_flagging(spark, eager_skew_split):
+@pytest.mark.parametrize("flagging", [matching.flag_matching, matching.flag_listed])
+def test_hot_key_is_split_when_flagging(spark, eager_skew_split, flagging):
     left = hot_rows(spark)
     right = left.where("target = 'hot' OR target LIKE 'k%1'").select("target")
-    result = matching.flag_matching(left, right, "target", "found")
-    assert "skew=true" in final_plan_text(result)
+    result = flagging(left, right, "target", "found")
+    assert re.search(r"SortMergeJoin\(skew=true\) [^\n]*LeftOuter", final_plan_text(result))
     found = {row.found: row["count"] for row in result.groupBy("found").count().collect()}
     assert found == {True: right.count(), False: 200_000 - right.count()}
 
@@ -143,6 +146,17 @@ def test_hot_target_reaches_the_shuffle_as_partial_rows(spark, conf):
     assert max(_shuffle_records(result)) <= 16
 
 
+def test_few_requests_do_not_shuffle_the_listing(spark, conf, tmp_path):
+    conf(spark__sql__adaptive__enabled="false")
+    listing = spark.range(0, 100_000).select(F.concat(F.lit("a/f"), F.col("id")).alias("path"))
+    listing.write.parquet(str(tmp_path / "listing"))
+    spark.createDataFrame([("a/f1",), ("a/f2",), ("b",)], "path string").write.parquet(str(tmp_path / "requests"))
+    requests = spark.read.parquet(str(tmp_path / "requests"))
+    result = inv.probe_existence(requests, spark.read.parquet(str(tmp_path / "listing")))
+    assert sorted(map(tuple, result.collect())) == [("a/f1", True), ("a/f2", True), ("b", False)]
+    assert max(_shuffle_records(result)) <= 3
+
+
 def _shuffle_records(df):
     """Records written by each shuffle of a query that has run."""
     found, pending = [], [df._jdf.queryExecution().executedPlan()]

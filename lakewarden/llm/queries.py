@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from lakewarden.llm.langid import op4_language_id
+from lakewarden.llm.tokenfile import op2_token_files
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
     "op4_language_id": op4_language_id,
 }
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from lakewarden.llm.langid import op4_language_id
+from lakewarden.llm.packing import op9_best_fit_packing
 from lakewarden.llm.tokenfile import op2_token_files
 
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op4_language_id": op4_language_id,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {}

@@ -5,11 +5,15 @@ from __future__ import annotations
 from lakewarden.llm.langid import op4_language_id
 from lakewarden.llm.packing import op9_best_fit_packing
 from lakewarden.llm.tokenfile import op2_token_files
+from lakewarden.llm.topk import OP8_SQL, op8_top_k
 
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op4_language_id": op4_language_id,
+    "op8_top_k": op8_top_k,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_top_k": OP8_SQL,
+}

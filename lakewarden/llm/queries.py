@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lakewarden.llm.langid import op4_language_id
 from lakewarden.llm.packing import op9_best_fit_packing
+from lakewarden.llm.quality import op6_quality
 from lakewarden.llm.tokenfile import op2_token_files
 from lakewarden.llm.topk import OP8_SQL, op8_top_k
 from lakewarden.llm.toxicity import op1_toxicity
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
     "op4_language_id": op4_language_id,
+    "op6_quality": op6_quality,
     "op8_top_k": op8_top_k,
     "op9_best_fit_packing": op9_best_fit_packing,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,21 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Within the block, texts travel to Python workers in batches of at most ``rows``.
+
+    For jobs that run inside the block; the session's own setting returns after it.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remainder(key: str, divisor: int) -> Column:
     """Unsigned CRC-32 of the key as text, modulo ``divisor``; null for a null key."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % divisor
@@ -112,3 +128,31 @@ def ngram_buckets(folded: np.ndarray, n: int, bits: int) -> np.ndarray:
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
+
+
+WHITE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+_random = np.random.default_rng(20240501)
+_BYTE_KEYS = _random.integers(1, 2**64, 256, np.uint64, endpoint=False) | np.uint64(1)
+_PLACE_KEYS = _random.integers(1, 2**64, 4096, np.uint64, endpoint=False) | np.uint64(1)
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values over all bits; one to one."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and 64-bit hashes of the words in bytes of text."""
+    solid = ~WHITE[raw]
+    edge = np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(starts):
+        return starts, ends, np.zeros(0, np.uint64)
+    letters = raw[solid]
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(len(letters)) - np.repeat(first, lengths)
+    sums = np.add.reduceat(_BYTE_KEYS[letters] * _PLACE_KEYS[place & 4095], first)
+    return starts, ends, mix(sums + lengths.astype(np.uint64))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import saved, table
+from lakewarden.llm.common import saved, small_batches, table
 from lakewarden.llm.tokenfile import with_end
 from lakewarden.llm.tokens import encoder
 
@@ -264,7 +264,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: i
 
     Null and empty texts are one piece, their end id. Null and repeated ids are packed like others.
     """
-    return pack(saved(tokenized_pieces(docs, tokenizer, end_id, capacity), "pieces"), capacity)
+    with small_batches(docs.sparkSession):
+        pieces = saved(tokenized_pieces(docs, tokenizer, end_id, capacity), "pieces")
+    return pack(pieces, capacity)
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import saved, table
+from lakewarden.llm.common import saved, small_batches, table
 from lakewarden.llm.tokens import encoder
 from lakewarden.session import new_folder
 
@@ -35,7 +35,7 @@ BLOCK_IDS = 1 << 16
 MAGIC = b"LWBITS01"
 FOOTER = struct.Struct("<8sQQQQQQ")
 #: Text per file. A file is read whole, so this bounds what a reader holds.
-FILE_TEXT_BYTES = 32 << 20
+FILE_TEXT_BYTES = 24 << 20
 
 
 def width_of(vocabulary: int) -> int:
@@ -165,7 +165,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, file_text_b
     files = max(1, -(-size // file_text_bytes))
     dealt = read.repartitionByRange(files, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
     rows = dealt.select("doc_id", "text").mapInArrow(partial(_file_rows, tokenizer, end_id), "value binary")
-    rows.select(F.col("value").cast("string")).write.text(folder)
+    with small_batches(docs.sparkSession):
+        rows.select(F.col("value").cast("string")).write.text(folder)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +195,8 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
     number = F.regexp_extract("path", r"part-(\d+)", 1).cast("bigint").alias("file")
     schema = "file bigint, doc_id bigint, place bigint, n_tokens bigint, ids_crc32 bigint"
-    docs = saved(files.select(number, "content").mapInArrow(_read, schema), "token-digests")
+    with small_batches(spark, 1):
+        docs = saved(files.select(number, "content").mapInArrow(_read, schema), "token-digests")
     sums = docs.groupBy("file").agg(F.sum("n_tokens").alias("ids"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))

@@ -19,14 +19,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 #: Text encoded at a time, and the size above which one text is encoded in parts.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 6_000_000
 #: Pieces a worker remembers before it starts anew.
-REMEMBERED = 600_000
-LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
-PLAIN = re.compile(rf"([{LETTERS}]+)([,.]?)")
+REMEMBERED = 500_000
+#: Words in one call of the library.
+JOINED = 500
+#: Letters that compose with nothing, and whose lower case does not depend on their place.
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
+#: A word and the marks after it, which begin a new token.
+PLAIN = re.compile(rf"(\x01?[{LETTERS}]+)([!-/:-@\[-`{{-~]*)")
 #: A place where both kinds begin a new token.
 SEAM = re.compile(r"(?<=[!-~]) (?=[!-~])")
 #: Marks a piece that has no space before it.
@@ -53,116 +57,100 @@ class CachedEncoder:
             self.kind = "ends"
             special += [BARE]
         self.apart = "|".join(special)
-        tokens = sorted(self.tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
-        self.size = tokens[-1][1] + 1
-        self.newline = self.tokenizer.token_to_id("Ċ")
-        self.ends = np.zeros(self.size, bool)
-        for token, number in tokens:
-            self.ends[number] = token.endswith("</w>") if self.kind == "ends" else token.startswith("Ġ")
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
-
-    def _remember(self, keys: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        first, count = len(self.known), len(keys)
-        while first + count > len(self.start):
-            self.start, self.length = np.append(self.start, self.start), np.append(self.length, self.length)
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.append(self.flat, self.flat)
-        self.start[first : first + count] = self.used + np.cumsum(lengths) - lengths
-        self.length[first : first + count] = lengths
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.known.update(zip(keys, range(first, first + count), strict=True))
-
-    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum())), lengths
-
-    def _joined(self, words: list[str], bare: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words of letters, encoded as one text and cut apart again."""
-        if self.kind == "bytes" and bare:
-            ids = np.array(self.tokenizer.encode("\n" + "\n".join(words), add_special_tokens=False).ids, np.uint32)
-            marks = np.flatnonzero(ids == self.newline)
-            if len(marks) != len(words):
-                return self._library(words)
-            return np.delete(ids, marks), np.diff(np.append(marks, len(ids))) - 1
-        ids = np.array(self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids, np.uint32)
-        marks = np.flatnonzero(self.ends[ids])
-        if len(marks) != len(words):
-            return self._library(words if self.kind == "ends" else [f" {w}" for w in words])
-        bounds = np.append(0, marks + 1) if self.kind == "ends" else np.append(marks, len(ids))
-        return ids, np.diff(bounds)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.size = max(vocabulary.values()) + 1
+        self.newline = vocabulary.get("Ċ")
+        self.bounds = np.zeros(self.size, bool)
+        for token, number in vocabulary.items():
+            self.bounds[number] = token.endswith("</w>") if self.kind == "ends" else token.startswith("Ġ")
+        # The same model for lower-case or spaced words of letters, which need no rules.
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = None
+        spaced = pre_tokenizers.ByteLevel(add_prefix_space=self.kind == "bytes", use_regex=False)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), spaced])
+        self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _joined(self, words: list[str], bare: bool) -> list[bytes]:
+        """Ids of words of letters, encoded together and cut apart again."""
+        out: list[bytes] = []
+        for at in range(0, len(words), JOINED):
+            some = words[at : at + JOINED]
+            if bare and self.kind == "bytes":
+                text = "\n" + "\n".join(some)
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                starts = np.flatnonzero(ids == self.newline)
+                ends, starts = np.append(starts[1:], len(ids)), starts + 1
+            else:
+                ids = np.array(self.words.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+                marks = np.flatnonzero(self.bounds[ids])
+                ends = marks + 1 if self.kind == "ends" else np.append(marks[1:], len(ids))
+                starts = np.append(0, ends[:-1]) if self.kind == "ends" else marks
+            if len(starts) == len(some):
+                data = ids.tobytes()
+                out += [data[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            else:
+                out += self._library(some if bare or self.kind == "ends" else [f" {w}" for w in some])
+        return out
 
     def _learn(self, pieces: list[str]) -> None:
-        """Remember the given pieces; a word of letters shares its ids with the word and a mark after it."""
+        """Remember pieces; a word shares its ids with the same word in front of marks."""
         words: dict[bool, dict[str, None]] = {False: {}, True: {}}
-        marked, other = [], []
+        plain, other = [], []
         for piece in pieces:
-            bare = piece.startswith(BARE)
-            match = PLAIN.fullmatch(piece, 1 if bare else 0)
-            if not match:
+            match = PLAIN.fullmatch(piece)
+            if match is None:
                 other.append(piece)
                 continue
-            word = match[1]
-            key = BARE + word if bare else word
+            key, mark = match.groups()
+            if self.kind == "ends":
+                key = key.lower()
             if key not in self.known:
-                words[bare][word] = None
-            if match[2]:
-                marked.append((piece, key, match[2]))
+                words[key.startswith(BARE)][key] = None
+            if mark not in self.marks:
+                self.marks[mark] = self._library([mark])[0]
+            plain.append((piece, key, mark))
         for bare, group in words.items():
             if group:
-                ids, lengths = self._joined(list(group), bare)
-                self._remember([BARE + w for w in group] if bare else list(group), ids, lengths)
+                self.known.update(zip(group, self._joined([k[bare:] for k in group], bare), strict=True))
+        for piece, key, mark in plain:
+            self.known[piece] = self.known[key] + self.marks[mark] if mark else self.known[key]
         if other:
             space = "" if self.kind == "ends" else " "
             texts = [p[1:] if p.startswith(BARE) else p if p == "\n" else space + p for p in other]
-            self._remember(other, *self._library(texts))
-        if marked:
-            mark = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ",."}
-            parts, lengths = [], []
-            for _, key, m in marked:
-                at = self.known[key]
-                begin = self.start[at]
-                parts += [self.flat[begin : begin + self.length[at]], mark[m]]
-                lengths.append(self.length[at] + len(mark[m]))
-            self._remember([p for p, _, _ in marked], np.concatenate(parts), np.array(lengths))
+            self.known.update(zip(other, self._library(texts), strict=True))
 
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per text) of texts that may be cut at spaces."""
         if self.kind == "ends":
-            cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            cut = pc.split_pattern(pc.replace_substring(pc.ascii_lower(texts), "\n", " "), " ")
         else:
             bare = pc.replace_substring(texts, "\n", f" \n {BARE}")
             cut = pc.split_pattern(pc.binary_join_element_wise(BARE, bare, ""), " ")
         pieces = cut.flatten().dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        if self.kind == "ends":
-            distinct = [p.lower() if PLAIN.fullmatch(p) else p for p in distinct]
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > REMEMBERED:
-            self._forget()
-        unknown = list(dict.fromkeys(p for p in distinct if p not in self.known))
+            self.known, self.marks = {}, {}
+        unknown = [p for p in distinct if p not in self.known]
         if unknown:
             self._learn(unknown)
-        codes = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        codes = codes[pieces.indices.to_numpy()]
-        lengths = self.length[codes]
-        before = np.cumsum(lengths) - lengths
-        ids = self.flat[np.repeat(self.start[codes] - before, lengths) + np.arange(int(lengths.sum()))]
-        sums = np.append(0, np.cumsum(lengths))
-        return ids, np.diff(sums[cut.offsets.to_numpy() - cut.offsets[0].as_py()])
+        found = pa.array(list(map(self.known.__getitem__, distinct)), pa.large_binary()).take(pieces.indices)
+        _, offsets, data = found.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(found) + 1) // 4
+        ids = np.frombuffer(data, "<u4", int(ends[-1])) if ends[-1] else np.zeros(0, "<u4")
+        return ids, np.diff(ends[cut.offsets.to_numpy()])
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, ids per text) for consecutive texts, in slices; null is empty."""
         held: list[str] = []
         owner: list[int] = []
         rows = size = 0
-        for text in pc.fill_null(texts, "").to_pylist():
-            for part in _parts(text):
+        for value in texts:
+            for part in _parts(value.as_py() or ""):
                 held.append(part)
                 owner.append(rows)
                 size += len(part)
@@ -170,6 +158,7 @@ class CachedEncoder:
             if size >= SLICE_CHARS:
                 yield self._slice(held, owner, rows)
                 held, owner, rows, size = [], [], 0, 0
+                pa.default_memory_pool().release_unused()
         if rows:
             yield self._slice(held, owner, rows)
 
@@ -178,16 +167,18 @@ class CachedEncoder:
         whole = np.ones(len(held), bool)
         if self.kind != "whole":
             whole = pc.match_substring_regex(array, self.apart).to_numpy(zero_copy_only=False).astype(bool)
-        counts = np.zeros(len(held), np.int64)
         if not whole.any():
             ids, counts = self._cut(array)
         else:
-            cut_ids, cut_counts = self._cut(array.filter(pa.array(~whole))) if not whole.all() else (np.zeros(0, np.uint32), counts[:0])
-            lib_ids, lib_counts = self._library(array.filter(pa.array(whole)).to_pylist())
-            counts[~whole], counts[whole] = cut_counts, lib_counts
-            ids = np.zeros(int(counts.sum()), np.uint32)
+            parts = self._library(array.filter(pa.array(whole)).to_pylist())
+            counts = np.zeros(len(held), np.int64)
+            counts[whole] = [len(p) // 4 for p in parts]
+            cut_ids = np.zeros(0, "<u4")
+            if not whole.all():
+                cut_ids, counts[~whole] = self._cut(array.filter(pa.array(~whole)))
+            ids = np.zeros(int(counts.sum()), "<u4")
             takes = np.repeat(whole, counts)
-            ids[takes], ids[~takes] = lib_ids, cut_ids
+            ids[takes], ids[~takes] = np.frombuffer(b"".join(parts), "<u4"), cut_ids
         return ids, np.bincount(owner, weights=counts, minlength=rows).astype(np.int64)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lakewarden.llm.langid import op4_language_id
+from lakewarden.llm.neardup import op7_near_duplicates
 from lakewarden.llm.packing import op9_best_fit_packing
 from lakewarden.llm.quality import op6_quality
 from lakewarden.llm.tokenfile import op2_token_files
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op4_language_id": op4_language_id,
     "op6_quality": op6_quality,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_top_k": op8_top_k,
     "op9_best_fit_packing": op9_best_fit_packing,
 }

@@ -6,6 +6,7 @@ from lakewarden.llm.langid import op4_language_id
 from lakewarden.llm.neardup import op7_near_duplicates
 from lakewarden.llm.packing import op9_best_fit_packing
 from lakewarden.llm.quality import op6_quality
+from lakewarden.llm.substring import op10_substring_dedup
 from lakewarden.llm.tokenfile import op2_token_files
 from lakewarden.llm.topk import OP8_SQL, op8_top_k
 from lakewarden.llm.toxicity import op1_toxicity
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_near_duplicates": op7_near_duplicates,
     "op8_top_k": op8_top_k,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {

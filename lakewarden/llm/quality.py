@@ -103,7 +103,7 @@ class Logistic:
     bias: float
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        return (x - self.mean) / self.scale @ self.weights + self.bias
+        return ((x - self.mean) / self.scale @ self.weights).astype(np.float64) + self.bias
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 100) -> Logistic:

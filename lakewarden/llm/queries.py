@@ -5,6 +5,7 @@ from __future__ import annotations
 from lakewarden.llm.langid import op4_language_id
 from lakewarden.llm.neardup import op7_near_duplicates
 from lakewarden.llm.packing import op9_best_fit_packing
+from lakewarden.llm.pii import op5_pii
 from lakewarden.llm.quality import op6_quality
 from lakewarden.llm.substring import op10_substring_dedup
 from lakewarden.llm.tokenfile import op2_token_files
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
     "op4_language_id": op4_language_id,
+    "op5_pii": op5_pii,
     "op6_quality": op6_quality,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_top_k": op8_top_k,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lakewarden.llm.decontaminate import op3_decontaminate
 from lakewarden.llm.langid import op4_language_id
 from lakewarden.llm.neardup import op7_near_duplicates
 from lakewarden.llm.packing import op9_best_fit_packing
@@ -15,6 +16,7 @@ from lakewarden.llm.toxicity import op1_toxicity
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
+    "op3_decontaminate": op3_decontaminate,
     "op4_language_id": op4_language_id,
     "op5_pii": op5_pii,
     "op6_quality": op6_quality,

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.llm.common import remainder, sample_key, saved, sigmoid, slices, table, utf8, words_of
 
-SHAPES = 512
+SHAPES = 256
 SOURCES, LANGS, LENGTHS = 64, 16, 24
 #: A character's kind, as text of shapes has it: lower and upper case, digit, other ASCII as it is.
 SHAPE = np.array([97 if chr(b).islower() and b < 128 or b >= 128 else 65 if chr(b).isupper() else 48 if chr(b).isdigit() else b for b in range(256)], np.uint8)
@@ -53,7 +53,7 @@ def text_view(texts: pa.Array) -> np.ndarray:
             np.add.at(kinds[:, k], rows, np.add.reduceat(kind[raw], starts, dtype=np.int64))
         np.add.at(size, rows, np.diff(np.append(starts, len(raw))))
         shape = SHAPE[raw].astype(np.uint32)
-        code = (shape[:-2] << 16 | shape[1:-1] << 8 | shape[2:]) * np.uint32(2654435761) >> np.uint32(23)
+        code = (shape[:-2] << 16 | shape[1:-1] << 8 | shape[2:]) * np.uint32(2654435761) >> np.uint32(24)
         owner = np.repeat(np.arange(len(rows)), np.diff(np.append(starts, len(raw))))
         counts = np.bincount(owner[: len(code)] * SHAPES + code, minlength=len(rows) * SHAPES)
         np.add.at(shapes, rows, counts.reshape(-1, SHAPES))
@@ -197,11 +197,12 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8000, unlabelled: in
     wanted = F.broadcast(chosen.unionByName(others))
     read = docs.select("doc_id", "text", page_view()).join(wanted, "doc_id")
     read = read.select(F.col("doc_id").cast("bigint"), "label", "text", "page_view")
-    sample = saved(read.mapInArrow(_sample_rows, FEATURES), "quality-sample").orderBy("doc_id", "text_view").toPandas()
-    label = sample["label"].to_numpy(float)
+    sample = saved(read.mapInArrow(_sample_rows, FEATURES), "quality-sample").orderBy("doc_id", "text_view").toArrow()
+    label = sample["label"].to_numpy().astype(float)
     if len(np.unique(label[label >= 0])) < 2:
         return None
-    views = [np.array(sample["text_view"].to_list(), np.float32), _page_matrix(np.array(sample["page_view"].to_list()))]
+    text = sample["text_view"].combine_chunks().flatten().to_numpy().reshape(len(label), -1)
+    views = [text, _page_matrix(_places(sample["page_view"].combine_chunks()))]
     kept = (np.arange(len(label)) % 4 == 0) & (label >= 0)
     used = ~kept
     if min(len(np.unique(label[part & (label >= 0)])) for part in (kept, used)) < 2:
@@ -236,7 +237,7 @@ def score_documents(docs: DataFrame, model: QualityModel | None) -> DataFrame:
 
 def _mark(model: QualityModel, threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        both = model.views(text_view(batch.column("text")), _page_matrix(_places(batch.column("page_view"))))
+        both = model.views(text_view(batch.column("text")), _page_matrix(_places(batch.columns[-1])))
         keep = sigmoid(model.combined.margin(both)) >= threshold
         yield batch.select(batch.schema.names[:-1]).filter(pa.array(keep))
 

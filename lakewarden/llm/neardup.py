@@ -6,12 +6,13 @@ down to a power of ``BASE``. Sketches of a union are the maxima of the registers
 tell similar sets.
 
 1. Every text is sketched. Texts with the same set are one class, named by its smallest id.
-2. Bands of registers put classes into buckets. In each bucket the smallest class is compared with
-   the others: by the joint likelihood of the two sketches first, then on their full sets.
-3. Links make components. Where a bucket still holds several, the classes outside the component of
-   its smallest one are compared with all others of the bucket they are not connected with, some at
-   a time. Pairs of a component that is connected already are never made, so a group of copies costs
-   as many comparisons as it has members.
+2. Bands of registers put classes into buckets. In each bucket one class, the one that shares most,
+   is compared with the others: by the joint likelihood of the two sketches first, then on their full
+   sets.
+3. Links make components. Where a bucket still holds several, its classes are joined by the prefixes
+   of their sets, and pairs of different components that may be linked are compared on their full
+   sets. Pairs of a component that is connected already are never compared, so a group of copies
+   costs as many comparisons as it has members.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +39,6 @@ LARGEST_POINT = 40.0
 LINKED = 85
 #: Estimates this far below the threshold are still checked; four standard errors of the estimate.
 SLACK = 0.13
-PIVOTS_AT_ONCE = 16
 
 
 def registers_of(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -55,7 +56,7 @@ def registers_of(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         hashes, owner, point, drawn = hashes[alive], owner[alive], point[alive], drawn[alive]
         register = ((drawn & np.uint64(0xFFFF)) * np.uint64(REGISTERS)) >> np.uint64(16)
         np.minimum.at(least, owner * REGISTERS + register.astype(np.int64), point)
-    level = 1 + np.floor(np.log(LARGEST_POINT / least) / np.log(BASE))
+    level = 1 + np.floor(np.log(LARGEST_POINT / np.minimum(least, 2 * LARGEST_POINT)) / np.log(BASE))
     return np.clip(level, 0, 32767).astype(np.int16).reshape(len(counts), REGISTERS)
 
 
@@ -126,7 +127,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = []
         for name in ("ta", "tb"):
             own = []
-            for hashes, counts in shingle_sets(batch.column(name)):
+            for hashes, counts in shingle_sets(_texts(batch.column(name))):
                 own += np.split(hashes, np.cumsum(counts)[:-1])
             sides.append(own)
         linked = []
@@ -136,17 +137,48 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that are linked."""
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shingle of each text."""
+    for batch in batches:
+        ids, own = batch.column("class_id").to_numpy(), batch.column("own").to_numpy()
+        row = 0
+        for hashes, counts in shingle_sets(_texts(batch.column("packed"))):
+            rows = np.repeat(np.arange(row, row + len(counts)), counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[rows]), pa.array(own[rows]), pa.array(np.repeat(counts, counts)), pa.array(hashes.view(np.int64))],
+                ["class_id", "own", "n", "shingle"],
+            )
+            row += len(counts)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the shuffle."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = [packer.compress((t.as_py() or "").encode()) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "packed"])
+
 
-    def side(df: DataFrame, key: str, *columns: tuple[str, str]) -> DataFrame:
-        return df.select(F.col("class_id").alias(key), *[F.col(old).alias(new) for old, new in columns])
+def _texts(packed: pa.Array) -> pa.Array:
+    opener = zstandard.ZstdDecompressor()
+    return pa.array([opener.decompress(p.as_buffer()).decode() for p in packed], pa.string())
 
-    sized = pairs.join(side(reps, "a", ("n_shingles", "na"), ("registers", "ra")), "a")
-    sized = sized.join(side(reps, "b", ("n_shingles", "nb"), ("registers", "rb")), "b")
+
+def _side(df: DataFrame, key: str, *columns: tuple[str, str]) -> DataFrame:
+    return df.select(F.col("class_id").alias(key), *[F.col(old).alias(new) for old, new in columns])
+
+
+def _likely_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that sizes and sketches do not rule out."""
+    sized = pairs.join(_side(reps, "a", ("n_shingles", "na"), ("registers", "ra")), "a")
+    sized = sized.join(_side(reps, "b", ("n_shingles", "nb"), ("registers", "rb")), "b")
     sized = sized.where(100 * F.least("na", "nb") >= LINKED * F.greatest("na", "nb"))
-    likely = sized.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely, "a bigint, b bigint").distinct()
-    both = likely.join(side(texts, "a", ("text", "ta")), "a").join(side(texts, "b", ("text", "tb")), "b")
+    return sized.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely, "a bigint, b bigint").distinct()
+
+
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that are linked, by their full texts."""
+    both = pairs.join(_side(texts, "a", ("packed", "ta")), "a").join(_side(texts, "b", ("packed", "tb")), "b")
     checked = both.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint")
     with small_batches(pairs.sparkSession):
         return saved(checked, "verified-links")
@@ -173,17 +205,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.slice("registers", b * BAND_ROWS + 1, F.lit(BAND_ROWS))),
     )
-    bands = reps.select("class_id", F.explode(band).alias("band")).distinct()
-    first = bands.groupBy("band").agg(F.min("class_id").alias("pivot"), F.count("*").alias("size"))
-    shared = saved(first.where(F.col("size") > 1).select("band", "pivot"), "shared-buckets")
-    buckets = saved(bands.join(shared, "band"), "buckets")
-    ids = buckets.select("class_id").distinct()
-    held = read.join(ids, read["doc_id"] == ids["class_id"], "left_semi")
-    texts = saved(held.withColumnRenamed("doc_id", "class_id"), "candidate-texts")
-    star = buckets.where(F.col("class_id") != F.col("pivot"))
-    links = _links(star.select(F.col("pivot").alias("a"), F.col("class_id").alias("b")).distinct(), reps, texts)
+    bands = reps.select("class_id", F.explode(band).alias("band"))
+    sizes = bands.groupBy("band").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    buckets = saved(bands.join(sizes, "band"), "buckets")
+    # The class that shares most is the likeliest to link with the others.
+    fame = buckets.groupBy("class_id").agg(F.sum("size").alias("fame"))
+    famed = buckets.select("band", "class_id").join(fame, "class_id")
+    ahead = F.max(F.struct("fame", (-F.col("class_id")).alias("id")))
+    pivots = saved(famed.groupBy("band").agg(ahead.alias("top")).select("band", (-F.col("top.id")).alias("pivot")), "pivots")
+    star = buckets.join(pivots, "band").where(F.col("class_id") != F.col("pivot"))
+    star = saved(star.select("band", "class_id", "pivot"), "stars")
+    ids = fame.select("class_id")
+    packed = read.mapInArrow(_packed, "doc_id bigint, packed binary")
+    texts = saved(packed.join(ids, packed["doc_id"] == ids["class_id"], "left_semi").withColumnRenamed("doc_id", "class_id"), "candidate-texts")
+    pairs = star.select(F.least("pivot", "class_id").alias("a"), F.greatest("pivot", "class_id").alias("b")).distinct()
+    links = _links(_likely_pairs(pairs, reps), texts)
     components = saved(connected(links), "components")
-    links, components = _finish(buckets, links, components, reps, texts)
+    more = _links(_open_pairs(star, components, texts), texts)
+    if not more.isEmpty():
+        components = saved(connected(links.unionByName(more)), "components")
     named = classes.join(components, classes["class_id"] == components["node"], "left")
     named = saved(named.select("k1", "k2", F.coalesce("component", "class_id").alias("component")), "named-classes")
     known = sketches.drop("registers").withColumn("_own", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("k1")))
@@ -193,30 +233,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "n_shingles", component, F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _finish(buckets: DataFrame, links: DataFrame, components: DataFrame, reps: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Compare what step 2 left open, until every pair of a bucket is connected or compared."""
+def _open_pairs(star: DataFrame, components: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes of different components that may be linked, though no star compared them.
+
+    The classes outside the component of their bucket's pivot, and those they share a bucket with, are
+    joined by prefix: with each set's shingles in order of their frequency among these classes, two
+    linked sets share one of the first, and what either has left from there on bounds their overlap.
+    Shingles of one class only link nothing, and they come first; so classes with many of their own
+    drop out at once, however many there are.
+    """
 
     def named(df: DataFrame, key: str, name: str) -> DataFrame:
         own = components.select(F.col("node").alias(key), F.col("component").alias("_component"))
         return df.join(own, key, "left").withColumn(name, F.coalesce("_component", key)).drop("_component")
 
-    apart = named(named(buckets, "class_id", "own"), "pivot", "main").where(F.col("own") != F.col("main"))
-    order = F.row_number().over(Window.partitionBy("band").orderBy("class_id"))
-    apart = saved(apart.select("band", "class_id", "pivot", order.alias("place")), "open-classes")
-    most = apart.agg(F.max("place")).first()[0] or 0
-    for begin in range(0, most, PIVOTS_AT_ONCE):
-        now = apart.where((F.col("place") > begin) & (F.col("place") <= begin + PIVOTS_AT_ONCE))
-        now = now.select("band", F.col("class_id").alias("a"))
-        pairs = now.join(buckets.select("band", F.col("class_id").alias("b"), "pivot"), "band")
-        # The bucket's smallest class has met all others.
-        pairs = pairs.where((F.col("a") != F.col("b")) & (F.col("b") != F.col("pivot")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = named(named(pairs, "a", "ca"), "b", "cb").where(F.col("ca") != F.col("cb")).select("a", "b")
-        found = _links(pairs, reps, texts)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            components = saved(connected(links), "components")
-    return links, components
+    state = named(named(star, "class_id", "own"), "pivot", "main").withColumn("apart", (F.col("own") != F.col("main")).cast("int"))
+    state = saved(state.select("band", "class_id", "own", "apart"), "star-components")
+    # A single class outside has met the pivot, and the others of the bucket may still be its links.
+    open_ = state.groupBy("band").agg(F.max("apart").alias("apart"), F.count("*").alias("others"))
+    open_ = open_.where((F.col("apart") == 1) & (F.col("others") > 1)).select("band")
+    members = saved(state.join(open_, "band").select("class_id", "own").distinct(), "open-classes")
+    held = texts.join(members, "class_id").select("class_id", "own", "packed")
+    shingles = held.mapInArrow(_exploded, "class_id bigint, own bigint, n bigint, shingle bigint")
+    common = saved(shingles.groupBy("shingle").agg(F.count("*").alias("df")).where(F.col("df") > 1), "shared-shingles")
+    shared = shingles.join(common, "shingle")
+    mine = Window.partitionBy("class_id")
+    own_first = F.col("n") - F.count("*").over(mine)
+    place = own_first + F.row_number().over(mine.orderBy("df", "shingle")) - 1
+    left = shared.select("class_id", "own", "n", "shingle", (F.col("n") - place).alias("left"))
+    prefix = saved(left.where(100 * F.col("left") >= LINKED * F.col("n")), "prefixes")
+
+    def side(key: str) -> DataFrame:
+        return prefix.select("shingle", *[F.col(c).alias(c + key) for c in ("class_id", "own", "n", "left")])
+
+    met = side("a").join(side("b"), "shingle")
+    needed = LINKED * (F.col("na") + F.col("nb"))
+    enough = (100 + LINKED) * F.least("lefta", "leftb") >= needed
+    met = met.where((F.col("class_ida") < F.col("class_idb")) & (F.col("owna") != F.col("ownb")) & enough)
+    return met.select(F.col("class_ida").alias("a"), F.col("class_idb").alias("b")).distinct()
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

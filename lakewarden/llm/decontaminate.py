@@ -20,7 +20,6 @@ benchmark takes one pass over the documents per shard.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -34,7 +33,8 @@ from lakewarden.llm.common import FOLD, mix, table, utf8, words_of
 from lakewarden.llm.shingles import whole_rows
 
 SEGMENT = 64
-BLOCK = 32
+#: Blocks of segments with a greatest weight of their own per term.
+BLOCKS = 32
 SHARD = 20_000
 THRESHOLD = 0.5
 #: Shares of the question's and of the answer's trigrams; a question alone must be nearly whole.
@@ -83,6 +83,7 @@ class Index:
     starts: np.ndarray
     segments: np.ndarray
     weights: np.ndarray
+    block: int
     block_max: np.ndarray
     greatest: np.ndarray
     essential: np.ndarray
@@ -120,14 +121,15 @@ def build_index(items: list[tuple[int, str]], threshold: float = THRESHOLD) -> I
     number, segment, weight = number[order], segment[order], weight[order]
     starts = np.searchsorted(number, np.arange(len(terms) + 1))
     greatest = np.maximum.reduceat(weight, starts[:-1])
-    block_max = np.zeros((len(terms), -(-len(parts) // BLOCK)), np.float32)
-    np.maximum.at(block_max, (number, segment // BLOCK), weight)
+    size = -(-len(parts) // BLOCKS)
+    block_max = np.zeros((len(terms), -(-len(parts) // size)), np.float32)
+    np.maximum.at(block_max, (number, segment // size), weight)
     frequent = np.argsort(-df, kind="stable")
     total = np.cumsum(greatest[frequent])
-    spared = frequent[total <= threshold / 2]
+    spared = frequent[total <= 0.6 * threshold]
     essential = np.ones(len(terms), bool)
     essential[spared] = False
-    index = Index([n for n, _, _ in kept], np.array(owner), terms, starts, segment, weight, block_max, greatest, essential, float(greatest[spared].sum()))
+    index = Index([n for n, _, _ in kept], np.array(owner), terms, starts, segment, weight, size, block_max, greatest, essential, float(greatest[spared].sum()))
     for _, text, hashes in kept:
         question, answer = question_and_answer(text)
         index.questions.append(_trigrams(question))
@@ -136,23 +138,27 @@ def build_index(items: list[tuple[int, str]], threshold: float = THRESHOLD) -> I
     return index
 
 
-def _retrieve(index: Index, terms: np.ndarray, threshold: float) -> dict[int, float]:
-    """Items with a segment of at least ``threshold`` of its weight among ``terms``, and the best share."""
-    blocks = index.block_max[terms].sum(0) >= threshold * (1 - 1e-6)
-    if not blocks.any():
-        return {}
-    scores: dict[int, float] = defaultdict(float)
-    for term in terms.tolist():
-        span = slice(index.starts[term], index.starts[term + 1])
-        for segment, weight in zip(index.segments[span].tolist(), index.weights[span].tolist(), strict=True):
-            if blocks[segment // BLOCK]:
-                scores[segment] += weight
-    found: dict[int, float] = {}
-    for segment, score in scores.items():
-        if score >= threshold:
+def _retrieve(index: Index, passages: np.ndarray, terms: np.ndarray, threshold: float) -> Iterator[tuple[int, dict[int, float]]]:
+    """(passage, items with a segment of at least ``threshold`` of its weight in it, and the best share).
+
+    ``terms`` are the distinct terms of each of the ``passages``, in order of these.
+    """
+    starts = np.flatnonzero(np.append(True, np.diff(passages) != 0))
+    ends = np.append(starts[1:], len(passages))
+    bounds = np.add.reduceat(index.block_max[terms], starts, axis=0) >= threshold * (1 - 1e-5)
+    for k in np.flatnonzero(bounds.any(1)).tolist():
+        own = terms[starts[k] : ends[k]]
+        begin, count = index.starts[own], index.starts[own + 1] - index.starts[own]
+        at = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
+        segments = index.segments[at]
+        may = bounds[k][segments // index.block]
+        scores = np.bincount(segments[may], index.weights[at[may]])
+        found: dict[int, float] = {}
+        for segment in np.flatnonzero(scores >= threshold).tolist():
             item = int(index.owner[segment])
-            found[item] = max(found.get(item, 0.0), score)
-    return found
+            found[item] = max(found.get(item, 0.0), float(scores[segment]))
+        if found:
+            yield int(passages[starts[k]]), found
 
 
 def _matches(index: Index, slots: np.ndarray, texts: pa.Array, threshold: float) -> Iterator[tuple[int, int, float, float, float]]:
@@ -171,25 +177,28 @@ def _matches(index: Index, slots: np.ndarray, texts: pa.Array, threshold: float)
         # Strides of each text, numbered on; a passage is a stride and the next one of the same text.
         strides = -(-np.diff(first) // stride)
         base = np.append(0, np.cumsum(strides))
+        row = rows[places]
+        spot = base[row] + (places - first[row]) // stride
         telling = index.essential[term]
-        spot, weight = places[telling], index.greatest[term[telling]]
-        row = rows[spot]
-        held = np.bincount(base[row] + (spot - first[row]) // stride, weight, base[-1] + 1)
-        reach = held[:-1] + np.append(held[1:-1], 0.0)
+        held = np.bincount(spot[telling], index.greatest[term[telling]], base[-1] + 1)
+        alive = held[:-1] + np.append(held[1:-1], 0.0) + index.spare >= threshold * (1 - 1e-9)
+        # A hit counts for the passage that starts with its stride and for the one before.
+        earlier = spot > base[row]
+        earlier[earlier] = alive[spot[earlier] - 1]
+        key = np.concatenate([spot, spot - 1])[np.concatenate([alive[spot], earlier])] * len(index.terms)
+        key = np.unique(key + np.concatenate([term, term])[np.concatenate([alive[spot], earlier])])
         best: dict[tuple[int, int], tuple] = {}
-        for number in np.flatnonzero(reach + index.spare >= threshold * (1 - 1e-9)).tolist():
+        found_in = _retrieve(index, key // len(index.terms), key % len(index.terms), threshold) if len(key) else ()
+        for number, found in found_in:
             row = int(np.searchsorted(base, number, side="right")) - 1
             start = first[row] + (number - base[row]) * stride
             end = min(start + passage, first[row + 1])
-            own = np.unique(term[np.searchsorted(places, start) : np.searchsorted(places, end)])
-            found = _retrieve(index, own, threshold)
-            if found:
-                around = _trigrams(hashes[max(first[row], start - index.longest) : min(first[row + 1], end + index.longest)])
+            around = _trigrams(hashes[max(first[row], start - index.longest) : min(first[row + 1], end + index.longest)])
             for item, score in found.items():
                 shares = [np.isin(own, around, assume_unique=True).mean() if len(own) else 0.0 for own in (index.questions[item], index.answers[item])]
                 if min(shares) >= BOTH or shares[0] >= ALONE:
-                    key = (begin + row, item)
-                    best[key] = max(best.get(key, ()), (score, *shares))
+                    at = (begin + row, item)
+                    best[at] = max(best.get(at, ()), (score, *shares))
         for (row, item), values in best.items():
             yield row, item, *map(float, values)
 

@@ -65,12 +65,17 @@ def _trigrams(hashes: np.ndarray) -> np.ndarray:
 
 
 def question_and_answer(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of an item's question and of its answer, the last sentence; of a single sentence, its last quarter; three words at least."""
+    """Word hashes of an item's question and of its answer, the last sentence; of a single sentence, its last quarter.
+
+    Each has three words at least; an item too short for that is both.
+    """
     sentences = [s for s in SENTENCE.split(text) if len(word_hashes(s))]
     hashes = word_hashes(text)
     answer = len(word_hashes(sentences[-1])) if len(sentences) > 1 else len(hashes) // 4
-    cut = max(0, len(hashes) - max(answer, 3))
-    return hashes[:cut], hashes[cut:]
+    for least in (max(answer, 3), max(len(hashes) // 4, 3)):
+        if len(hashes) - least >= 3:
+            return hashes[: len(hashes) - least], hashes[len(hashes) - least :]
+    return hashes, hashes
 
 
 @dataclass

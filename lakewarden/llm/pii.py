@@ -17,6 +17,8 @@ linear in the length of any text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,33 +43,46 @@ CHUNK = 256
 SPAN = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once; used as it is, it would be computed at each place."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda total, x: total + x)
 
 
 def _ends(lengths: Column) -> Column:
-    """Running sums of an array of bigints, in time that stays near linear."""
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / CHUNK).cast("int")), lambda c: _sum(F.slice(lengths, c * CHUNK + 1, F.lit(CHUNK))))
+    """Running sums of an array of bigints, chunk by chunk, in time that stays near linear."""
+    numbers = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / CHUNK).cast("int"))
+
+    def within(start: Column, chunk: Column) -> Column:
+        sums = F.aggregate(chunk, F.array(start), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+        return F.slice(sums, F.lit(2), F.size(chunk))
 
-    def end(i: Column) -> Column:
-        before = F.floor(i / CHUNK).cast("int")
-        return _sum(F.slice(chunks, F.lit(1), before)) + _sum(F.slice(lengths, before * CHUNK + 1, i - before * CHUNK + 1))
+    def joined(sums: Column) -> Column:
+        return F.flatten(F.transform(numbers, lambda c: within(_sum(F.slice(sums, F.lit(1), c)), F.slice(lengths, c * CHUNK + 1, F.lit(CHUNK)))))
 
-    return F.transform(F.sequence(F.lit(0), F.size(lengths) - 1), end)
+    return _let(F.transform(numbers, lambda c: _sum(F.slice(lengths, c * CHUNK + 1, F.lit(CHUNK)))), joined)
 
 
 def spans_of(text: Column, pattern: str | Column) -> Column:
     """Start, end and text of each match, in characters from 0, end exclusive."""
     if isinstance(pattern, str):
         pattern = F.lit(pattern)
+
+    def found(pieces: Column, ends: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)),
+            lambda i: F.struct(F.get(ends, i - 1).alias("start"), F.get(ends, i).alias("end"), F.get(pieces, i).alias("value")),
+        )
+
+    def placed(pieces: Column) -> Column:
+        lengths = F.transform(pieces, lambda p: F.char_length(p).cast("bigint"))
+        return _let(_let(lengths, _ends), lambda ends: found(pieces, ends))
+
     pieces = F.split(F.regexp_replace(text, pattern, F.lit(f"{MARK}$0{MARK}")), MARK, -1)
-    lengths = F.transform(pieces, lambda p: F.char_length(p).cast("bigint"))
-    ends = _ends(lengths)
-    found = F.transform(
-        F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)),
-        lambda i: F.struct(F.get(ends, i - 1).alias("start"), F.get(ends, i).alias("end"), F.get(pieces, i).alias("value")),
-    )
-    return F.when(F.regexp_like(text, pattern), found).otherwise(F.array().cast(SPAN))
+    return F.when(F.regexp_like(text, pattern), _let(pieces, placed)).otherwise(F.array().cast(SPAN))
 
 
 def _digits(value: Column) -> Column:
@@ -83,13 +98,12 @@ def _luhn(digits: Column) -> Column:
 
 
 def _valid(kind: str, value: Column) -> Column:
-    digits = _digits(value)
     return {
-        "email": F.lit(True),
-        "ip": value.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"),
-        "card": F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(False),
-        "phone": F.length(digits).between(9, 15),
-    }[kind]
+        "email": lambda: F.lit(True),
+        "ip": lambda: value.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"),
+        "card": lambda: _let(_digits(value), lambda d: F.when(F.length(d).between(13, 19), _luhn(d)).otherwise(False)),
+        "phone": lambda: F.length(_digits(value)).between(9, 15),
+    }[kind]()
 
 
 def base_spans(text: Column) -> list[Column]:
@@ -171,7 +185,8 @@ def with_term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
 
     def acted(action: str) -> Column:
         has = F.exists("terms", lambda t: t["action"] == action)
-        spans = F.filter(spans_of(F.col("text"), pattern(action)), lambda s: ~F.exists(taken, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+        found = spans_of(F.col("text"), pattern(action))
+        spans = _let(taken, lambda t: F.filter(found, lambda s: ~F.exists(t, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))))
         return F.when(has, spans).otherwise(F.array().cast(SPAN)).alias(action)
 
     return joined.select("*", acted("generalise"), acted("remove"))
@@ -203,17 +218,18 @@ def _rewritten(text: Column) -> Column:
     def tagged(kind: str) -> Column:
         return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(tags[kind]).alias("tag")))
 
-    spans = F.array_sort(F.concat(*map(tagged, tags)))
+    def replaced(spans: Column) -> Column:
+        def done(i: Column) -> Column:
+            return F.coalesce(F.array_max(F.transform(F.slice(spans, F.lit(1), i), lambda s: s["end"])), F.lit(0).cast("bigint"))
 
-    def done(i: Column) -> Column:
-        return F.coalesce(F.array_max(F.transform(F.slice(spans, F.lit(1), i), lambda s: s["end"])), F.lit(0).cast("bigint"))
+        def part(s: Column, i: Column) -> Column:
+            gap = F.substring(text, (done(i) + 1).cast("int"), (s["start"] - done(i)).cast("int"))
+            return F.when(s["start"] >= done(i), F.concat(gap, s["tag"])).otherwise("")
 
-    def part(s: Column, i: Column) -> Column:
-        gap = F.substring(text, (done(i) + 1).cast("int"), (s["start"] - done(i)).cast("int"))
-        return F.when(s["start"] >= done(i), F.concat(gap, s["tag"])).otherwise("")
+        rest = F.substring(text, (done(F.size(spans)) + 1).cast("int"), F.char_length(text))
+        return F.concat(F.array_join(F.transform(spans, part), ""), rest)
 
-    rest = F.substring(text, (done(F.size(spans)) + 1).cast("int"), F.char_length(text))
-    return F.concat(F.array_join(F.transform(spans, part), ""), rest)
+    return _let(F.array_sort(F.concat(*map(tagged, tags))), replaced)
 
 
 def sanitize(docs: DataFrame) -> DataFrame:

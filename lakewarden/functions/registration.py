@@ -71,6 +71,7 @@ def route(
 
 def request_payload(target: Column, location: Column, subpath: Column, connection_id: str) -> Column:
     """The JSON document that asks for a zero-copy registration."""
+    # The field names and the path of the request.
     store = F.struct(
         location.alias("location"),
         subpath.alias("subpath"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -52,10 +51,13 @@ class SyncConfig:
         start, schemas = f"{NAME_PREFIX}_{self.catalog}_", self.schemas
         if self.fold_case:
             start, schemas = start.lower(), [schema.lower() for schema in schemas]
-        pattern = f"^{re.escape(start)}(?:{'|'.join(map(re.escape, schemas))})_"
-        # The plain prefix can be pushed into a scan; the pattern tests each name once however many
-        # schemas are managed.
-        return target.startswith(start) & target.rlike(pattern)
+        # The schema is what stands before one of the underscores: each such beginning is looked up in
+        # the set of schemas, so the number of schemas does not matter. The plain prefix can be pushed
+        # into a scan.
+        parts = F.split(F.substr(target, F.lit(len(start) + 1)), "_")
+        begins = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: i > 0)
+        known = F.exists(begins, lambda i: F.array_join(F.slice(parts, F.lit(1), i), "_").isin(*schemas))
+        return target.startswith(start) & known
 
 
 def union_listings(listings: Iterable[DataFrame]) -> DataFrame:
@@ -93,8 +95,8 @@ def to_delete(targets: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def to_create(sources: DataFrame, targets: DataFrame) -> DataFrame:
-    """Source tables without a registered name."""
-    return drop_matching(sources, targets, "target")
+    """Source tables without a registered name; a table whose name cannot be composed is none."""
+    return drop_matching(sources.where(F.col("target").isNotNull()), targets, "target")
 
 
 def name_status(sources: DataFrame, targets: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from lakewarden.schemas import ORDER_SCHEMA
-from lakewarden.sinks.tables import append_table, overwrite_table
+from lakewarden.sinks.tables import append_table, overwrite_table, read_table
 from lakewarden.sources.files import scan_csv_declared, scan_csv_inferred, with_lineage
 
 PREVIEW_ROWS = 5
@@ -55,10 +55,19 @@ def load_csv(
     fmt: str = "parquet",
     schema: StructType | None = None,
 ) -> DataFrame:
-    """Load one headed CSV into a table and return the preview of the rows read."""
+    """Load one headed CSV into a table and return the preview of the rows read.
+
+    Appended rows are read under the table's own columns, if there is one: a file that does not fit
+    them is an error.
+    """
     writers = {"append": append_table, "overwrite": overwrite_table}
     if mode not in writers:
         raise ValueError(f"mode {mode!r} is not one of {sorted(writers)}")
-    rows = scan_csv_inferred(spark, source, schema)
+    table = read_table(spark, target, fmt) if mode == "append" and schema is None else None
+    if table is not None:
+        strict = spark.read.schema(table.schema).option("mode", "FAILFAST").option("enforceSchema", False)
+        rows = strict.csv(source, header=True)
+    else:
+        rows = scan_csv_inferred(spark, source, schema)
     writers[mode](rows, target, fmt)
     return preview(rows)

@@ -8,8 +8,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+# Casts that lose nothing, from -> to.
+_WIDER = {
+    "tinyint": {"smallint", "int", "bigint", "double"},
+    "smallint": {"int", "bigint", "double"},
+    "int": {"bigint", "double"},
+    "float": {"double"},
+}
+# Formats whose files may differ in columns and can be read as their union.
+_MERGED = ("parquet", "orc")
+_TEXT = ("csv", "json", "text", "xml")
+_MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_PATH_DOES_NOT_EXIST", "DELTA_TABLE_NOT_FOUND"}
 
 
 def _save(df: DataFrame, path: str, fmt: str, mode: str, partition_by: tuple[str, ...]) -> None:
@@ -19,8 +35,46 @@ def _save(df: DataFrame, path: str, fmt: str, mode: str, partition_by: tuple[str
     writer.save(path)
 
 
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path`` with the columns of all its files, or nothing if there is none."""
+    reader = spark.read.format(fmt)
+    if fmt in _MERGED:
+        reader = reader.option("mergeSchema", True)
+    try:
+        return reader.load(path)
+    except AnalysisException as error:
+        # A folder without data files, as a failed first write leaves it, is no table either.
+        if (error.getCondition() or "").split(".")[0] in _MISSING or "Unable to infer schema" in str(error):
+            return None
+        raise
+
+
+def require_columns(new: StructType, table: StructType, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Raise unless rows of ``new`` fit the table: the same columns, of the same or a narrower type.
+
+    Types of partition columns are not compared, as readers infer them from folder names.
+    """
+    have, want = ({f.name: f.dataType.simpleString() for f in s} for s in (new, table))
+    problems = [f"{name} is not in the table" for name in have if name not in want]
+    problems += [f"{name} is missing" for name in want if name not in have]
+    for name in have.keys() & want.keys() - set(partition_by):
+        if have[name] != want[name] and want[name] not in _WIDER.get(have[name], ()):
+            problems.append(f"{name} is {have[name]}, in the table {want[name]}")
+    if problems:
+        raise ValueError(f"rows do not fit {path}: " + "; ".join(sorted(problems)))
+
+
 def append_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
-    """Add rows to a table, creating it if needed."""
+    """Add rows to a table, creating it if needed.
+
+    Rows for an existing table must have its columns; narrower types are cast, and the columns are
+    written in the table's order. Anything else is an error before a row is written.
+    """
+    table = read_table(df.sparkSession, path, fmt)
+    if table is not None and table.columns:
+        require_columns(df.schema, table.schema, path, partition_by)
+        kept = [c if c in partition_by else F.col(c).cast(table.schema[c].dataType).alias(c) for c in table.columns]
+        df = df.select(*kept)
     _save(df, path, fmt, "append", partition_by)
 
 
@@ -45,21 +99,53 @@ def copy_dataset(
     move: bool = False,
     partition_by: tuple[str, ...] = (),
 ) -> CopyResult:
-    """Copy a dataset and check that the target holds as many rows as were read.
+    """Copy a dataset and check that the target holds the rows and columns that were read.
+
+    Files that differ in columns are read as their union. Values of partition folders are text and
+    stay as they are; without ``partition_by`` the layout of the source is kept. Text formats have no
+    fixed rows and are refused. The rows read are counted and hashed while they are copied. An existing
+    target is an error unless ``remove_target`` is set.
 
-    The rows read are counted while they are copied. An existing target is an error unless
-    ``remove_target`` is set.
+    ``removable`` of a move names the files that were copied, and no others.
     """
+    if fmt in _TEXT:
+        raise ValueError(f"{fmt} files are not tables; copy them as objects")
+    rows = _as_written(spark, source, fmt)
+    files = rows.select(F.col("_metadata.file_path").alias("path")).distinct() if move else None
+    layout = partition_by or _partition_columns(rows, source)
     counted = Observation("copied rows")
-    rows = spark.read.format(fmt).load(source).observe(counted, F.count(F.lit(1)).alias("n"))
-    _save(rows, target, fmt, "overwrite" if remove_target else "errorifexists", partition_by)
-    copied = counted.get["n"]
-    # The schema is known, so reading the target back needs no inference.
-    found = spark.read.format(fmt).schema(rows.schema).load(target).count()
-    if copied != found:
-        raise RuntimeError(f"{target} holds {found} rows after {copied} were copied")
-    removable = None
-    if move:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        removable = files.load(source).select("path")
-    return CopyResult(copied, removable)
+    summary = (F.count(F.lit(1)).alias("n"), F.expr(f"bit_xor({_row_hash(rows)})").alias("hash"))
+    _save(rows.observe(counted, *summary), target, fmt, "overwrite" if remove_target else "errorifexists", layout)
+    copied = counted.get
+    target_rows = _as_written(spark, target, fmt)
+    if set(target_rows.columns) != set(rows.columns):
+        raise RuntimeError(f"{target} has columns {target_rows.columns}, {source} {rows.columns}")
+    typed = target_rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in rows.schema])
+    found = typed.agg(*summary).first()
+    if (copied["n"], copied["hash"]) != (found["n"], found["hash"]):
+        raise RuntimeError(f"{target} holds {found['n']} rows that differ from the {copied['n']} copied")
+    return CopyResult(copied["n"], files)
+
+
+def _as_written(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """A dataset with the columns of all its files and the text of its partition folders."""
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        reader = spark.read.format(fmt)
+        return (reader.option("mergeSchema", True) if fmt in _MERGED else reader).load(path)
+    finally:
+        spark.conf.set(name, before)
+
+
+def _partition_columns(rows: DataFrame, source: str) -> tuple[str, ...]:
+    """Names of the partition folders above the first file."""
+    first = rows.select("_metadata.file_path").first()
+    below = first[0].rsplit(source.rstrip("/").rsplit("/", 1)[-1] + "/", 1)[-1] if first else ""
+    return tuple(name for name in re.findall(r"([^/=]+)=[^/]*/", below) if name in rows.columns)
+
+
+def _row_hash(rows: DataFrame) -> str:
+    columns = ", ".join(f"`{c}`" for c in sorted(rows.columns))
+    return f"xxhash64({columns})" if columns else "0"

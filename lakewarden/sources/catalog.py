@@ -28,10 +28,13 @@ def catalog_snapshot(
     tables = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     if layout == "responses":
         tables = tables.select(F.inline("tables"))
+    for name in ("catalog_name", "schema_name", "name"):
+        absent = F.raise_error(F.lit(f"a table of the catalog has no {name}")).cast("string")
+        tables = tables.withColumn(name, F.coalesce(name, absent))
     return tables if config is None else select_schemas(tables, config)
 
 
 def registered_targets(spark: SparkSession, database: str) -> DataFrame:
     """Names of the tables registered in a database."""
-    tables = spark.sql(f"SHOW TABLES IN `{database}`")
+    tables = spark.sql("SHOW TABLES IN `{}`".format(database.replace("`", "``")))
     return tables.where(~F.col("isTemporary")).select(F.col("tableName").alias("target"))

@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def refuse_hidden(path: str | list[str]) -> None:
+    """Raise for listed files that Spark would leave out without a word: names with ``_`` or ``.`` in front."""
+    for each in [path] if isinstance(path, str) else path:
+        if each.rstrip("/").rsplit("/", 1)[-1].startswith(("_", ".")):
+            raise ValueError(f"{each} would not be read: its name starts with _ or .")
+
+
 def scan_csv_inferred(spark: SparkSession, path: str | list[str], schema: StructType | None = None) -> DataFrame:
     """Read CSV whose first line names the columns.
 
@@ -29,8 +36,10 @@ def scan_csv_declared(
 
     Without ``header`` a header line is data. Short rows are padded with nulls and long rows cut to
     the schema. ``recursive`` reads every file at any depth below a folder exactly once; folder
-    names such as ``year=2024`` are then not turned into columns.
+    names such as ``year=2024`` are then not turned into columns. Of a folder, names that start with
+    ``_`` or ``.`` are not read; listed by path they are an error.
     """
+    refuse_hidden(path)
     reader = spark.read.schema(schema).option("recursiveFileLookup", recursive)
     return reader.csv(path, header=header)
 
@@ -43,8 +52,10 @@ def with_lineage(df: DataFrame, column: str = "source_file") -> DataFrame:
 def scan_binary(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Read whole objects as ``path, content``, at any depth below a folder.
 
-    An object is one row, so it must be below 2 GiB.
+    An object is one row, so it must be below 2 GiB. Spark leaves out objects of zero bytes and, of a
+    folder, names that start with ``_`` or ``.``; listed by path the latter are an error.
     """
+    refuse_hidden(path)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)

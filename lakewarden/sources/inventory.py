@@ -12,17 +12,29 @@ from lakewarden.schemas import INVENTORY_SCHEMA
 # Delimited and JSON exports are read strictly: a listing row that does not fit is an error, since a
 # row silently turned into nulls would make its folder look empty.
 _STRICT_FORMATS = {"csv", "json"}
+_REQUIRED = ("path", "is_dir")
 
 
 def inventory(spark: SparkSession, export: str, fmt: str = "parquet") -> DataFrame:
     """Read an exported listing of objects and folders.
 
-    The export must hold folders as rows with ``is_dir``, since empty folders appear nowhere else.
+    The export must hold folders as rows with ``is_dir``, since empty folders appear nowhere else. A
+    Parquet export without ``path`` or ``is_dir``, and a text row without a value for either, is an
+    error. Paths are relative to the root: leading, trailing and repeated slashes go.
     """
     reader = spark.read.schema(INVENTORY_SCHEMA).format(fmt)
     if fmt in _STRICT_FORMATS:
-        reader = reader.option("mode", "FAILFAST")
-    return reader.load(export).withColumn("path", strip_trailing_slash(F.col("path")))
+        rows = reader.option("mode", "FAILFAST").load(export)
+        for name in _REQUIRED:
+            absent = F.raise_error(F.lit(f"a row of the inventory has no {name}")).cast(rows.schema[name].dataType)
+            rows = rows.withColumn(name, F.coalesce(name, absent))
+    else:
+        found = spark.read.format(fmt).load(export).columns
+        if lacking := [name for name in _REQUIRED if name not in found]:
+            raise ValueError(f"the inventory has no column {', '.join(lacking)}")
+        rows = reader.load(export)
+    path = F.ltrim(F.regexp_replace("path", "/{2,}", "/"), F.lit("/"))
+    return rows.withColumn("path", strip_trailing_slash(path))
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:

@@ -6,6 +6,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakewarden.sinks.tables import read_table, require_columns
+
+# The checkpoint is the ledger of files: none is too old to be new.
+ANY_AGE = "36500d"
+
 
 def ingest_new_files(
     spark: SparkSession,
@@ -22,16 +27,21 @@ def ingest_new_files(
 
     The checkpoint is the ledger of files; it must lie in storage all executors share. After a
     failure the same call goes on where the last committed batch ended. ``files_per_batch`` bounds
-    one commit when a first run meets a large backlog; the folder is listed once per run. A Parquet
-    target must be written by this stream only, because readers then follow the stream's own commit
-    log.
+    one commit when a first run meets a large backlog; the folder is listed once per run. Files of any
+    age are taken; Spark leaves out names that start with ``_`` or ``.``. A Parquet target must be
+    written by this stream only, because readers then follow the stream's own commit log. An existing
+    target must have the columns of ``schema``.
     """
     reader = spark.readStream.schema(schema).option("header", header).option("recursiveFileLookup", True)
+    reader = reader.option("maxFileAge", ANY_AGE)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.csv(source)
     if lineage:
         rows = rows.select("*", F.col("_metadata.file_path").alias("source_file"))
+    table = read_table(spark, target, fmt)
+    if table is not None:
+        require_columns(rows.schema, table.schema, target)
     query = (
         rows.writeStream.format(fmt)
         .outputMode("append")

@@ -114,12 +114,10 @@ def directory_sizes(inventory: DataFrame, unit: str = "GB") -> DataFrame:
 
 
 def top_level_sizes(inventory: DataFrame) -> DataFrame:
-    """Bytes per first path component."""
-    return (
-        inventory.where(~is_folder())
-        .groupBy(leading_parts(F.col("path"), F.lit(1)).alias("dir"))
-        .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
-    )
+    """Bytes of the files per first path component; a folder without files has none."""
+    length = F.when(~is_folder(), F.col("length"))
+    first = leading_parts(F.col("path"), F.lit(1)).alias("dir")
+    return inventory.groupBy(first).agg(F.coalesce(F.sum(length), F.lit(0)).alias("bytes"))
 
 
 def level_stats(inventory: DataFrame) -> DataFrame:

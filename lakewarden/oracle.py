@@ -175,8 +175,9 @@ ORACLE: dict[str, str] = {
         SELECT 'order_year=' || order_year AS dir, n_bytes AS bytes FROM ({_SALES_FILES})""",
     "dir_size_top": f"""
         WITH {_INVENTORY}
-        SELECT split_part(path, '/', 1) AS dir, CAST(sum(length) AS BIGINT) AS bytes
-        FROM inventory WHERE NOT is_dir GROUP BY 1""",
+        SELECT split_part(path, '/', 1) AS dir,
+               CAST(coalesce(sum(length) FILTER (WHERE NOT is_dir), 0) AS BIGINT) AS bytes
+        FROM inventory GROUP BY 1""",
     "dir_size_root": f"""
         WITH {_INVENTORY}
         SELECT '' AS dir, CAST(sum(length) AS BIGINT) AS bytes,

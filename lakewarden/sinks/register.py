@@ -1,17 +1,20 @@
 """Applying a sync plan: external tables are created or dropped, data is neither copied nor removed.
 
-DDL runs on the driver, one statement per created or dropped table. Only those plan rows reach it,
-one partition at a time.
+DDL runs on the driver, one statement per created or dropped table, several in flight. Only those plan
+rows reach it, one partition at a time, and outcomes go to the shared folder chunk by chunk.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from itertools import islice
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from lakewarden.schemas import OUTCOME_SCHEMA
+from lakewarden.session import new_folder
 
 
 def _quoted(*parts: str) -> str:
@@ -44,28 +47,42 @@ def _drop(spark: SparkSession, database: str, row: Row) -> tuple[str, str | None
     return "deleted", None
 
 
-def _attempt(action, spark: SparkSession, database: str, rows: Iterable[Row]) -> Iterator[tuple]:
-    for row in rows:
-        try:
-            outcome, message = action(spark, database, row)
-        except PySparkException as error:
-            outcome, message = "failed", str(error).split("\n", 1)[0]
-        yield row.target, row.operation, outcome, message
+def _attempt(action, spark: SparkSession, database: str, row: Row) -> tuple:
+    try:
+        outcome, message = action(spark, database, row)
+    except PySparkException as error:
+        outcome, message = "failed", str(error).split("\n", 1)[0]
+    return row.target, row.operation, outcome, message
+
+
+def _apply(action, planned: DataFrame, database: str, in_flight: int, chunk: int) -> DataFrame:
+    """One statement per row, ``in_flight`` at a time; outcomes are written after every ``chunk`` rows.
+
+    The driver holds one chunk, however long the plan is. Statements of different names do not depend
+    on one another, so their number in flight changes no outcome.
+    """
+    spark = planned.sparkSession
+    folder, rows = new_folder(spark, "outcomes"), planned.toLocalIterator()
+    spark.createDataFrame([], OUTCOME_SCHEMA).write.parquet(folder)
+    with ThreadPoolExecutor(in_flight) as pool:
+        while some := list(islice(rows, chunk)):
+            outcomes = list(pool.map(partial(_attempt, action, spark, database), some))
+            spark.createDataFrame(outcomes, OUTCOME_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    return spark.read.schema(OUTCOME_SCHEMA).parquet(folder)
 
 
-def unregister_tables(spark: SparkSession, planned: DataFrame, database: str) -> DataFrame:
+def unregister_tables(spark: SparkSession, planned: DataFrame, database: str, in_flight: int = 4, chunk: int = 10_000) -> DataFrame:
     """Drop the registration of every ``delete`` row."""
-    rows = planned.where("operation = 'delete'").select("target", "operation").toLocalIterator()
-    return spark.createDataFrame(list(_attempt(_drop, spark, database, rows)), OUTCOME_SCHEMA)
+    wanted = planned.where("operation = 'delete'").select("target", "operation")
+    return _apply(_drop, wanted, database, in_flight, chunk)
 
 
-def register_tables(spark: SparkSession, planned: DataFrame, database: str) -> DataFrame:
+def register_tables(spark: SparkSession, planned: DataFrame, database: str, in_flight: int = 4, chunk: int = 10_000) -> DataFrame:
     """Register the location of every ``create`` row; other source rows are passed on as skipped."""
     wanted = planned.where("operation = 'create'").select(
         "target", "operation", "storage_location", "data_source_format"
     )
-    outcomes = list(_attempt(_create, spark, database, wanted.toLocalIterator()))
     passed_over = planned.where("operation IN ('skip', 'conflict')").selectExpr(
         "target", "operation", "'skipped' AS outcome", "reason AS message"
     )
-    return spark.createDataFrame(outcomes, OUTCOME_SCHEMA).unionByName(passed_over)
+    return _apply(_create, wanted, database, in_flight, chunk).unionByName(passed_over)

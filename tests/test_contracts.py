@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakewarden.operators.inventory import directory_size
+from lakewarden.operators.inventory import directory_size, top_level_sizes
 from lakewarden.operators.sync import SyncConfig, owned_targets, to_create
 from lakewarden.plans.ingest import ingest_files, load_csv
 from lakewarden.sinks.tables import append_table, copy_dataset
@@ -124,3 +124,9 @@ def test_inventory_and_catalog_need_their_fields(spark, tmp_path):
     (tmp_path / "catalog.json").write_text('{"catalog_name":"c","schema":"s","name":"t"}\n')
     with pytest.raises(Exception, match="schema_name"):
         catalog_snapshot(spark, str(tmp_path / "catalog.json")).select(F.col("schema_name")).collect()
+
+
+def test_top_level_folders_without_files_have_no_bytes(spark):
+    rows = [("a", True, 0), ("a/x", False, 5), ("b", True, 0), ("b/c", True, 0), ("f", False, 2)]
+    listing = spark.createDataFrame(rows, "path string, is_dir boolean, length bigint")
+    assert sorted(map(tuple, top_level_sizes(listing).collect())) == [("a", 5), ("b", 0), ("f", 2)]

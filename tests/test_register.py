@@ -118,3 +118,18 @@ def test_applying_a_stale_plan(spark, database, lake):
 def test_a_repeated_source_row_registers_once(spark, database, lake):
     result = run(spark, catalog(spark, lake, "first", "first", "first"), database)
     assert result.counters.first().asDict() == {"created": 1, "skipped": 2, "failed": 0, "deleted": 0}
+
+
+@pytest.mark.parametrize(("in_flight", "chunk"), [(1, 1), (8, 3), (4, 10_000)])
+def test_outcomes_do_not_depend_on_statements_in_flight(spark, tmp_path, in_flight, chunk):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    database = f"flight_{in_flight}_{chunk}"
+    spark.sql(f"CREATE DATABASE {database}")
+    rows = [(f"n{i}", "create", None, str(tmp_path / "t"), "PARQUET") for i in range(10)] + [("s", "skip", "why", None, None)]
+    planned = spark.createDataFrame(rows, "target string, operation string, reason string, storage_location string, data_source_format string")
+    done = register_tables(spark, planned, database, in_flight, chunk)
+    assert sorted((r["target"], r["outcome"]) for r in done.collect()) == sorted([(f"n{i}", "created") for i in range(10)] + [("s", "skipped")])
+    gone = planned.selectExpr("target", "'delete' AS operation")
+    done = unregister_tables(spark, gone, database, in_flight, chunk)
+    assert sorted((r["target"], r["outcome"]) for r in done.collect()) == sorted([(f"n{i}", "deleted") for i in range(10)] + [("s", "already_absent")])
+    spark.sql(f"DROP DATABASE {database}")

@@ -57,7 +57,11 @@ def sample_key(*columns: str) -> Column:
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column and the offsets of its rows; null is empty."""
+    """All bytes of a string column and the offsets of its rows; null is empty.
+
+    Arrow gives memory of earlier batches back first: a worker lives longer than its task.
+    """
+    pa.default_memory_pool().release_unused()
     column = pc.fill_null(column, "").cast(pa.large_string())
     _, offsets, data = column.buffers()
     starts = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]

@@ -20,12 +20,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
-def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, linked: int = neardup.LINKED) -> DataFrame:
     """Keep one document of each group of near duplicates, the one with the smallest id.
 
+    Texts are near duplicates at a similarity of ``linked`` hundredths or more.
     Rows without an id have no duplicates and stay; rows that repeat a kept id stay together.
     """
-    dropped = neardup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    dropped = neardup.near_duplicates(docs, linked).where(~F.col("kept")).select("doc_id").distinct()
     dropped = saved(dropped, "near-duplicate-ids")
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 

@@ -18,6 +18,7 @@ tell similar sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,18 +30,28 @@ from lakewarden.llm.common import mix, saved, small_batches, table
 from lakewarden.llm.components import connected
 from lakewarden.llm.shingles import shingle_sets
 
-BANDS, BAND_ROWS = 24, 5
-REGISTERS = BANDS * BAND_ROWS
+REGISTERS = 120
 BASE = 1.001
 #: Points are dropped up to where a register stays empty once in some thousand sets.
 REACH = np.log(REGISTERS) + 8
 #: Registers count up from here, so that sets of any size fit 16 bits.
 LARGEST_POINT = 40.0
+#: Similarity in hundredths from which two texts are linked, unless a caller names another.
 LINKED = 85
+#: Greatest chance that two texts at the threshold share no band.
+MISSED = 1e-6
 #: Estimates this far below the threshold are still checked; four standard errors of the estimate.
 SLACK = 0.13
 
 
+def bands_of(linked: int) -> tuple[int, int]:
+    """Number of bands and registers of each: the longest bands that miss a pair at ``linked`` at most ``MISSED`` of the time."""
+    for rows in range(REGISTERS, 1, -1):
+        if REGISTERS % rows == 0 and (1 - (linked / 100) ** rows) ** (REGISTERS // rows) <= MISSED:
+            return REGISTERS // rows, rows
+    return REGISTERS, 1
+
+
 def registers_of(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """One row of registers per set; an empty set has all zeros."""
     owner = np.repeat(np.arange(len(counts)), counts)
@@ -111,17 +122,17 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SKETCH = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, registers array<smallint>"
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _likely(linked: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose estimate does not rule out a link."""
     for batch in batches:
         if batch.num_rows:
             a, b = (batch.column(c).flatten().to_numpy().reshape(-1, REGISTERS) for c in ("ra", "rb"))
             na, nb = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
-            near = joint_estimate(a, b, na, nb) >= LINKED / 100 - SLACK
+            near = joint_estimate(a, b, na, nb) >= linked / 100 - SLACK
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verified(linked: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs linked on their full shingle sets."""
     for batch in batches:
         sides = []
@@ -130,11 +141,11 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for hashes, counts in shingle_sets(_texts(batch.column(name))):
                 own += np.split(hashes, np.cumsum(counts)[:-1])
             sides.append(own)
-        linked = []
+        near = []
         for x, y in zip(*sides, strict=True):
             both = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(both > 0 and 100 * both >= LINKED * (len(x) + len(y) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            near.append(both > 0 and 100 * both >= linked * (len(x) + len(y) - both))
+        yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,25 +179,26 @@ def _side(df: DataFrame, key: str, *columns: tuple[str, str]) -> DataFrame:
     return df.select(F.col("class_id").alias(key), *[F.col(old).alias(new) for old, new in columns])
 
 
-def _likely_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def _likely_pairs(pairs: DataFrame, reps: DataFrame, linked: int) -> DataFrame:
     """The pairs (a, b) of classes that sizes and sketches do not rule out."""
     sized = pairs.join(_side(reps, "a", ("n_shingles", "na"), ("registers", "ra")), "a")
     sized = sized.join(_side(reps, "b", ("n_shingles", "nb"), ("registers", "rb")), "b")
-    sized = sized.where(100 * F.least("na", "nb") >= LINKED * F.greatest("na", "nb"))
-    return sized.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely, "a bigint, b bigint").distinct()
+    sized = sized.where(100 * F.least("na", "nb") >= linked * F.greatest("na", "nb"))
+    return sized.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(partial(_likely, linked), "a bigint, b bigint").distinct()
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, linked: int) -> DataFrame:
     """The pairs (a, b) of classes that are linked, by their full texts."""
     both = pairs.join(_side(texts, "a", ("packed", "ta")), "a").join(_side(texts, "b", ("packed", "tb")), "b")
-    checked = both.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint")
+    checked = both.select("a", "b", "ta", "tb").mapInArrow(partial(_verified, linked), "a bigint, b bigint")
     with small_batches(pairs.sparkSession):
         return saved(checked, "verified-links")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, linked: int = LINKED) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
+    Texts are linked whose sets have a Jaccard similarity of ``linked`` hundredths or more.
     ``component_id`` is the smallest id of the documents reachable over links, the document itself
     included; ``kept`` marks the document that names its component. Texts that are null, empty or
     white space have no shingles and no links. Ids are taken to be unique; rows that repeat an id and
@@ -201,9 +213,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = saved(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("class_id")), "classes")
     same = (full["k1"] == classes["k1"]) & (full["k2"] == classes["k2"]) & (full["doc_id"] == classes["class_id"])
     reps = saved(full.join(classes, same, "left_semi").withColumnRenamed("doc_id", "class_id"), "representatives")
+    number, rows = bands_of(linked)
     band = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda b: F.xxhash64(b, F.slice("registers", b * BAND_ROWS + 1, F.lit(BAND_ROWS))),
+        F.sequence(F.lit(0), F.lit(number - 1)),
+        lambda b: F.xxhash64(b, F.slice("registers", b * rows + 1, F.lit(rows))),
     )
     bands = reps.select("class_id", F.explode(band).alias("band"))
     sizes = bands.groupBy("band").agg(F.count("*").alias("size")).where(F.col("size") > 1)
@@ -219,9 +232,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     packed = read.mapInArrow(_packed, "doc_id bigint, packed binary")
     texts = saved(packed.join(ids, packed["doc_id"] == ids["class_id"], "left_semi").withColumnRenamed("doc_id", "class_id"), "candidate-texts")
     pairs = star.select(F.least("pivot", "class_id").alias("a"), F.greatest("pivot", "class_id").alias("b")).distinct()
-    links = _links(_likely_pairs(pairs, reps), texts)
+    links = _links(_likely_pairs(pairs, reps, linked), texts, linked)
     components = saved(connected(links), "components")
-    more = _links(_open_pairs(star, components, texts), texts)
+    more = _links(_open_pairs(star, components, texts, linked), texts, linked)
     if not more.isEmpty():
         components = saved(connected(links.unionByName(more)), "components")
     named = classes.join(components, classes["class_id"] == components["node"], "left")
@@ -233,7 +246,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "n_shingles", component, F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _open_pairs(star: DataFrame, components: DataFrame, texts: DataFrame) -> DataFrame:
+def _open_pairs(star: DataFrame, components: DataFrame, texts: DataFrame, linked: int) -> DataFrame:
     """Pairs (a, b) of classes of different components that may be linked, though no star compared them.
 
     The classes outside the component of their bucket's pivot, and those they share a bucket with, are
@@ -261,14 +274,14 @@ def _open_pairs(star: DataFrame, components: DataFrame, texts: DataFrame) -> Dat
     own_first = F.col("n") - F.count("*").over(mine)
     place = own_first + F.row_number().over(mine.orderBy("df", "shingle")) - 1
     left = shared.select("class_id", "own", "n", "shingle", (F.col("n") - place).alias("left"))
-    prefix = saved(left.where(100 * F.col("left") >= LINKED * F.col("n")), "prefixes")
+    prefix = saved(left.where(100 * F.col("left") >= linked * F.col("n")), "prefixes")
 
     def side(key: str) -> DataFrame:
         return prefix.select("shingle", *[F.col(c).alias(c + key) for c in ("class_id", "own", "n", "left")])
 
     met = side("a").join(side("b"), "shingle")
-    needed = LINKED * (F.col("na") + F.col("nb"))
-    enough = (100 + LINKED) * F.least("lefta", "leftb") >= needed
+    needed = linked * (F.col("na") + F.col("nb"))
+    enough = (100 + linked) * F.least("lefta", "leftb") >= needed
     met = met.where((F.col("class_ida") < F.col("class_idb")) & (F.col("owna") != F.col("ownb")) & enough)
     return met.select(F.col("class_ida").alias("a"), F.col("class_idb").alias("b")).distinct()
 

@@ -1,14 +1,19 @@
 """Personal data: fixed patterns, and terms whose co-occurrence gives protected values away.
 
 Email addresses, IP addresses, card and phone numbers are found by pattern. Each value found is an
-entity to protect. A term of its context discloses it as far as the corpus ties the two together:
-with n documents, n_e holding the entity, n_t holding the term and n_et holding both nearby,
+entity to protect, and so is what values share: the name and the domain of an address, the first two
+and three numbers of an IP, the first four digits of a phone number and six of a card. A term of its
+context discloses an entity as far as the corpus ties the two together: with n documents, n_e holding
+the entity, n_t holding the term and n_et holding both nearby,
 
     PMI = log(n * n_et / (n_e * n_t)),    IC = log(n / n_e),    disclosure = PMI / IC.
 
-At 1 the term occurs with the entity only and tells as much as the entity itself. In documents that
-hold the entity, terms at ``REMOVE`` or more are removed and terms at ``GENERALISE`` or more become a
-placeholder. Co-occurrence in fewer than ``SUPPORT`` different texts is no evidence.
+At 1 the term occurs with the entity only and tells as much as the entity itself. Terms at ``REMOVE``
+or more are removed and terms at ``GENERALISE`` or more become a placeholder, in all documents that
+hold them. Co-occurrence is evidence where chance alone does not explain it: with k different texts
+that hold both, and mu = n_e * n_t / n, chance gives k or more with a probability below
+exp(k - mu - k * log(k / mu)) (Chernoff), which must not exceed ``CHANCE`` over all pairs looked at.
+A single text ties nothing.
 
 Everything is a Spark expression. The patterns take possessive quantifiers and start where a run of
 their first characters starts or the last match ended, which changes no match but keeps the time
@@ -34,10 +39,12 @@ PATTERNS = {
 #: Stands for nothing in any pattern; set around matches to cut them out.
 MARK, STAND_IN = "\ue000", "\x01"
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-TERM = r"\p{L}{4,}"
+#: Runs of three letters or more, and shorter ones of scripts that write words in one or two.
+TERM = r"\p{L}{3,}|(?<!\p{L})[\p{IsHan}\p{IsHangul}\p{IsHiragana}\p{IsKatakana}]{1,2}(?!\p{L})"
 #: Characters before and after an entity that are its context.
-REACH = 60
-SUPPORT = 3
+REACH = 300
+#: Chance that any of the pairs looked at passes for tied, though it is not.
+CHANCE = 0.05
 GENERALISE, REMOVE = 0.7, 0.9
 CHUNK = 256
 SPAN = "array<struct<start:bigint,end:bigint,value:string>>"
@@ -138,44 +145,70 @@ def _context(text: Column, start: Column, end: Column) -> Column:
     return F.concat(before, F.lit(" "), after)
 
 
+def _entities(kind: str, value: Column) -> Column:
+    """The names of a value and of what it shares with others of its kind."""
+    digits = _digits(value)
+    parts = {
+        "email": {"email": value, "name": F.split_part(value, F.lit("@"), F.lit(1)), "domain": F.split_part(value, F.lit("@"), F.lit(2))},
+        "ip": {"ip": value, "net3": F.substring_index(value, ".", 3), "net2": F.substring_index(value, ".", 2)},
+        "card": {"card": value, "issuer": F.substring(digits, 1, 6)},
+        "phone": {"phone": value, "area": F.substring(digits, 1, 4)},
+    }[kind]
+    return F.array(*[F.concat(F.lit(f"{name}:"), F.lower(part)) for name, part in parts.items()])
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """key, terms: the (term, action) pairs to act on in each document that holds an entity.
+    """key, terms: the (term, action) pairs to act on in each document that holds such a term.
 
     ``found`` is the stored result of the pattern search. Document counts of terms are over all words
     of all documents; both they and the pairs are combined in map tasks.
     """
 
-    def entity(kind: str) -> Column:
-        return F.transform(kind, lambda s: F.struct(F.concat(F.lit(f"{kind}:"), s["value"]).alias("entity"), s["start"].alias("start"), s["end"].alias("end")))
-
-    every = F.concat(*map(entity, PATTERNS))
-    holding = found.where(F.col("text").isNotNull())
-    at = holding.select("key", "text", F.explode(every).alias("s")).select("key", "text", "s.*")
-    entities = saved(at.select("entity", "key").distinct(), "entities")
-    n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e"))
-    near = at.select("entity", "key", F.xxhash64("text").alias("copy"), F.explode(_terms(_context(F.col("text"), F.col("start"), F.col("end")))).alias("term")).distinct()
-    # Exact copies of a document are one piece of evidence.
-    pairs = near.groupBy("entity", "term", "copy").agg(F.count("*").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts"))
-    pairs = saved(pairs.where(F.col("texts") >= SUPPORT).drop("texts"), "entity-terms")
+    def entities_of(kind: str) -> Column:
+        return F.transform(kind, lambda s: F.struct(_entities(kind, s["value"]).alias("entities"), s["start"].alias("start"), s["end"].alias("end")))
+
+    every = F.concat(*map(entities_of, PATTERNS))
+    holding = found.where(F.col("text").isNotNull()).withColumn("copy", F.xxhash64("text"))
+    at = holding.select("key", "copy", "text", F.explode(every).alias("s"))
+    at = at.select("key", "copy", F.explode("s.entities").alias("entity"), _terms(_context(F.col("text"), F.col("s.start"), F.col("s.end"))).alias("near"))
+    at = saved(at, "entities")
+    # Rows that repeat id and text are documents of their own. Exact copies are one piece of evidence.
+    rows = saved(holding.groupBy("key").agg(F.count("*").alias("rows")), "holding-rows")
+    copies = at.select("entity", "copy", "key").distinct().join(rows, "key").groupBy("entity", "copy").agg(F.sum("rows").alias("n"))
+    n_e = copies.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count("*").alias("texts"))
+    n_e = saved(n_e.where(F.col("texts") > 1).drop("texts"), "shared-entities")
+    near = at.join(n_e, "entity").select("entity", "copy", "key", F.explode("near").alias("term")).distinct()
+    pairs = near.join(rows, "key").groupBy("entity", "term", "copy").agg(F.sum("rows").alias("n"))
+    pairs = saved(pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")), "entity-terms")
     words = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    n = docs.count()
-    tied = pairs.join(words, "term").join(n_e, "entity")
-    pmi = F.log(F.lit(float(max(n, 1))) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    n, looked_at = float(max(docs.count(), 1)), max(pairs.count(), 1)
+    tied = pairs.where(F.col("texts") > 1).join(words, "term").join(n_e, "entity")
+    expected = F.col("n_e") * F.col("n_t") / n
+    pmi = F.log(F.col("n_et") / expected)
     share = pmi / F.log((n + 1.0) / F.col("n_e"))
+    surprise = F.col("texts") * F.log(F.col("texts") / expected) - F.col("texts") + expected
+    sure = (F.col("texts") > expected) & (surprise >= F.log(F.lit(looked_at / CHANCE)))
     action = F.when(share >= REMOVE, "remove").otherwise("generalise")
-    telling = saved(tied.where(share >= GENERALISE).select("entity", "term", action.alias("action")), "disclosing-terms")
-    # Of two actions on a term of a document, removal counts: it is the larger name.
-    own = entities.join(telling, "entity").groupBy("key", "term").agg(F.max("action").alias("action"))
+    # Of two actions on a term, removal counts: it is the larger name.
+    telling = tied.where(sure & (share >= GENERALISE)).groupBy("term").agg(F.max(action).alias("action"))
+    telling = saved(telling, "disclosing-terms")
+    text = F.translate(F.coalesce("text", F.lit("")), MARK, STAND_IN)
+    held = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.explode(_terms(text)).alias("term"))
+    own = held.join(telling, "term").distinct()
     return own.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("term", "action"))).alias("terms"))
 
 
-def with_term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
+def with_term_spans(docs: DataFrame, found: DataFrame, terms: DataFrame) -> DataFrame:
     """``found`` with columns ``generalise`` and ``remove``: spans of disclosing terms.
 
-    A term within a span of a pattern is part of it and not listed again.
+    A term within a span of a pattern is part of it and not listed again. ``found`` has no text where no
+    pattern matched; it comes from ``docs`` where a term does.
     """
-    joined = found.join(terms, "key", "left")
+    bare = found.where(F.col("text").isNull()).select("key").join(terms, "key", "left_semi").distinct()
+    text = F.translate(F.coalesce("text", F.lit("")), MARK, STAND_IN).alias("_text")
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("key"), text).join(bare, "key", "left_semi").dropDuplicates(["key"])
+    joined = found.join(terms, "key", "left").join(saved(texts, "texts-with-terms"), "key", "left")
+    joined = joined.withColumn("text", F.coalesce("text", "_text")).drop("_text")
 
     def pattern(action: str) -> Column:
         own = F.transform(F.filter("terms", lambda t: t["action"] == action), lambda t: t["term"])
@@ -204,7 +237,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """
     found = saved(_found(docs), "pattern-spans")
     terms = saved(disclosing_terms(docs, found), "document-terms")
-    spans = with_term_spans(found, terms)
+    spans = with_term_spans(docs, found, terms)
     base = F.array_join(F.concat(*[_listed(k) for k in PATTERNS]), ",")
     every = F.array_join(F.concat(*[_listed(k) for k in (*PATTERNS, "generalise", "remove")]), ",")
     counts = [F.size(k).cast("bigint").alias(f"n_{k}") for k in PATTERNS]
@@ -239,7 +272,7 @@ def sanitize(docs: DataFrame) -> DataFrame:
     """
     found = saved(_found(docs), "pattern-spans")
     terms = saved(disclosing_terms(docs, found), "document-terms")
-    holding = with_term_spans(found.where(F.col("text").isNotNull()), terms)
+    holding = with_term_spans(docs, found, terms).where(F.col("text").isNotNull())
     # Copies of a row have the same new text.
     new = holding.select("key", _rewritten(F.col("text")).alias("_new")).dropDuplicates(["key"])
     new = saved(new, "sanitized-texts")

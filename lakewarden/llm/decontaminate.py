@@ -11,7 +11,9 @@ only these are looked at first. Passages that may reach it are bounded block by
 the greatest weight of each term in the block, and only blocks that may reach it are scored.
 
 Retrieved items are verified on the text: the share of the word trigrams of the question, and of the
-answer, the item's last sentence, that occur around the passage.
+answer, the item's last sentence, that occur around the passage. Of fewer than three words, the whole
+sequence has to occur. Numbers are words, and those of the item have to occur too: the same wording
+with other numbers is another item. Scripts without spaces have a word per character.
 
 The index stays with each task; it is built over at most ``SHARD`` items at a time, and a larger
 benchmark takes one pass over the documents per shard.
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import FOLD, mix, table, utf8, words_of
+from lakewarden.llm.common import FOLD, SPACE, mix, table, utf8, words_of
 from lakewarden.llm.shingles import whole_rows
 
 SEGMENT = 64
@@ -42,26 +44,74 @@ BOTH, ALONE = 0.5, 0.8
 K1, B = 1.2, 0.75
 SLOTS = 20
 _KEYS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
-SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
+SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
+DIGIT = np.array([48 <= b <= 57 for b in range(256)])
+_FOLD = np.where(DIGIT, np.arange(256), FOLD).astype(np.uint8)
 
 
 def _fold(raw: np.ndarray) -> np.ndarray:
-    """Words in lower case, everything that is not a letter of theirs a space."""
-    folded = FOLD[raw]
+    """Words in lower case, everything that is neither letter nor digit of theirs a space."""
+    folded = _FOLD[raw]
     capital = np.append(False, raw[:-1] == 0xC3) & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)
     folded[capital] += 0x20
     return folded
 
 
+def _spread(folded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Folded bytes with spaces around each character of a script without spaces, and where they were put in.
+
+    Han, kana, Thai, Lao, Burmese and Khmer; CJK and full-width punctuation becomes space.
+    """
+    lead = np.flatnonzero(folded >= 0xE0)
+    lead = lead[lead + 2 < len(folded)]
+    if not len(lead):
+        return folded, lead
+    a, b, c = folded[lead], folded[lead + 1], folded[lead + 2]
+    mark = ((a == 0xE3) & (b == 0x80)) | ((a == 0xEF) & (b == 0xBC) & ((c < 0x90) | ((c > 0x99) & (c < 0xA1))))
+    han = ((a == 0xE3) & (b > 0x80)) | ((a > 0xE3) & (a < 0xEA)) | ((a == 0xEF) & (b >= 0xA4) & (b <= 0xAB)) | ((a == 0xF0) & (b >= 0xA0) & (b <= 0xB2))
+    other = ((a == 0xE0) & (b >= 0xB8) & (b <= 0xBB)) | ((a == 0xE1) & (np.isin(b, (0x80, 0x81, 0x82, 0x9E, 0x9F))))
+    folded[(lead[mark][:, None] + np.arange(3)).reshape(-1)] = SPACE
+    alone = lead[han | other]
+    at = np.unique(np.concatenate([alone, alone + np.where(folded[alone] >= 0xF0, 4, 3)]))
+    return np.insert(folded, at, SPACE), at
+
+
+def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a text, and which of them hold a digit."""
+    folded, _ = _spread(_fold(np.frombuffer(text.encode(), np.uint8)))
+    starts, ends, hashes = words_of(folded)
+    digits = np.append(0, np.cumsum(DIGIT[folded]))
+    return hashes, digits[ends] > digits[starts]
+
+
 def word_hashes(text: str) -> np.ndarray:
-    return words_of(_fold(np.frombuffer(text.encode(), np.uint8)))[2]
+    return _words(text)[0]
+
+
+def _grams(hashes: np.ndarray, width: int = 3) -> np.ndarray:
+    """Hashes of ``width`` words in a row."""
+    count = max(len(hashes) - width + 1, 0)
+    return np.unique(mix(sum((hashes[j : j + count] * _KEYS[j] for j in range(width)), np.zeros(count, np.uint64))))
+
+
+@dataclass
+class Part:
+    """What a question or an answer is verified on: its ``grams`` of ``width`` words, and its ``numbers``."""
+
+    width: int
+    grams: np.ndarray
+    numbers: np.ndarray
 
+    @staticmethod
+    def of(hashes: np.ndarray, numbers: np.ndarray) -> Part:
+        width = max(1, min(3, len(hashes)))
+        return Part(width, _grams(hashes, width), np.intersect1d(hashes, numbers))
 
-def _trigrams(hashes: np.ndarray) -> np.ndarray:
-    """Hashes of three words in a row; fewer words are one."""
-    if len(hashes) < 3:
-        return np.unique(mix((hashes * _KEYS[: len(hashes)]).sum(keepdims=True))) if len(hashes) else hashes
-    return np.unique(mix(hashes[:-2] * _KEYS[0] + hashes[1:-1] * _KEYS[1] + hashes[2:] * _KEYS[2]))
+    def share(self, around: np.ndarray, grams: list[np.ndarray]) -> float:
+        """Share of the grams among those of the words ``around``, by width; none where a number is missing."""
+        if not len(self.grams) or not np.isin(self.numbers, around).all():
+            return 0.0
+        return np.isin(self.grams, grams[self.width - 1], assume_unique=True).mean()
 
 
 def question_and_answer(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -93,8 +143,8 @@ class Index:
     greatest: np.ndarray
     essential: np.ndarray
     spare: float
-    questions: list[np.ndarray] = field(default_factory=list)
-    answers: list[np.ndarray] = field(default_factory=list)
+    questions: list[Part] = field(default_factory=list)
+    answers: list[Part] = field(default_factory=list)
     longest: int = 0
 
     def slots(self) -> np.ndarray:
@@ -137,8 +187,9 @@ def build_index(items: list[tuple[int, str]], threshold: float = THRESHOLD) -> I
     index = Index([n for n, _, _ in kept], np.array(owner), terms, starts, segment, weight, size, block_max, greatest, essential, float(greatest[spared].sum()))
     for _, text, hashes in kept:
         question, answer = question_and_answer(text)
-        index.questions.append(_trigrams(question))
-        index.answers.append(_trigrams(answer))
+        own, digits = _words(text)
+        index.questions.append(Part.of(question, own[digits]))
+        index.answers.append(Part.of(answer, own[digits]))
         index.longest = max(index.longest, len(hashes))
     return index
 
@@ -170,7 +221,9 @@ def _matches(index: Index, slots: np.ndarray, texts: pa.Array, threshold: float)
     """(row, item, score, question share, answer share) of verified matches."""
     passage, stride = 2 * SEGMENT, SEGMENT
     for begin, _, raw, stops in whole_rows(*utf8(texts)):
-        starts, _, hashes = words_of(_fold(raw))
+        folded, put = _spread(_fold(raw))
+        stops = stops + np.searchsorted(put, stops, side="right")
+        starts, _, hashes = words_of(folded)
         if not len(hashes):
             continue
         maybe = np.flatnonzero(slots[hashes >> np.uint64(64 - SLOTS)])
@@ -198,9 +251,10 @@ def _matches(index: Index, slots: np.ndarray, texts: pa.Array, threshold: float)
             row = int(np.searchsorted(base, number, side="right")) - 1
             start = first[row] + (number - base[row]) * stride
             end = min(start + passage, first[row + 1])
-            around = _trigrams(hashes[max(first[row], start - index.longest) : min(first[row + 1], end + index.longest)])
+            around = hashes[max(first[row], start - index.longest) : min(first[row + 1], end + index.longest)]
+            grams = [_grams(around, width) for width in (1, 2, 3)]
             for item, score in found.items():
-                shares = [np.isin(own, around, assume_unique=True).mean() if len(own) else 0.0 for own in (index.questions[item], index.answers[item])]
+                shares = [part.share(around, grams) for part in (index.questions[item], index.answers[item])]
                 if min(shares) >= BOTH or shares[0] >= ALONE:
                     at = (begin + row, item)
                     best[at] = max(best.get(at, ()), (score, *shares))

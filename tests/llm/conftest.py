@@ -5,11 +5,12 @@ import random
 
 import pytest
 
+from tests.llm import brute
 from tests.llm.brute import ODD_TEXTS, family
 
 SF = "/root/testdata/sf0.001"
 #: Columns that clash with names the operators use themselves.
-EXTRA = ("score", "kept", "key", "class_id", "packed", "start", "spans", "label", "rank")
+EXTRA = ("score", "kept", "key", "class_id", "packed", "start", "spans", "label", "rank", "ids", "n", "visitor")
 
 
 def _write(df, folder, name):
@@ -40,12 +41,16 @@ def odd_dir(spark, tmp_path_factory):
     vectors += [(300, vectors[0][1]), (301, vectors[0][1]), (350, vectors[50][1]), vectors[100], vectors[100]]
     vectors += [(400, None), (401, [1.0, None] * 10), (450, [math.nan] * 20), (451, [math.inf] * 20), (452, []), (500, [0.5] * 3), (None, [0.1] * 20)]
     _write(spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").selectExpr("*", "'x' AS v", "1 AS score", "2 AS qb"), folder, "embeddings")
+    turns = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()]
+    turns += brute.odd_turns(random.Random(6))
+    turns = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    _write(turns.selectExpr("*", "'x' AS fault", "1 AS step", "2 AS copy", "true AS here"), folder, "conversations")
     return folder
 
 
 @pytest.fixture(scope="session")
 def empty_dir(spark, odd_dir, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "benchmark", "embeddings"):
+    for name in ("documents", "labels", "benchmark", "embeddings", "conversations"):
         _write(spark.read.parquet(f"{odd_dir}/{name}.parquet").limit(0), folder, name)
     return folder

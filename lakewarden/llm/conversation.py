@@ -372,3 +372,102 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = damaged(table(spark, sf_dir, "conversations"))
     with small_batches(spark):
         return saved(digests(repair(rows, F.col("present"))), "conversation-digests")
+
+
+def _sql() -> str:
+    """DuckDB SQL of the same result: the search row by row, with whole paths in place of a tree."""
+
+    def edit(path: str, cost: str, initial: str, line: str | None = None, when: str = "true") -> str:
+        turns = f"list_append({path}.turns, {line})" if line else f"{path}.turns"
+        return f"CASE WHEN {path} IS NOT NULL AND {when} THEN {{cost: {path}.cost + {cost}, audit: {path}.audit || '{initial}', turns: {turns}}} END"
+
+    def rerole(path: str, name: str) -> str:
+        return edit(path, "3 + extra", "R", f"'{name}:' || text", "NOT must_go")
+
+    def keep(path: str, initial: str) -> str:
+        return edit(path, "extra", "K", "role || ':' || text", f"NOT must_go AND role[1] = '{initial}'")
+
+    def insert(path: str, name: str) -> str:
+        return edit(path, "3", "I", f"'{name}:'")
+
+    u = ", ".join([edit("u", "4", "D"), *[f(p, x) for p in "nsa" for f, x in ((rerole, "user"), (keep, "u"))]])
+    a = ", ".join([edit("a", "4", "D"), rerole("u", "assistant"), keep("u", "a")])
+    start = "{cost: CAST(0 AS BIGINT), audit: '', turns: CAST([] AS VARCHAR[])}"
+    nothing = "CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, turns VARCHAR[]))"
+    first = f"SELECT conv_id, {start} AS n, {nothing} AS s, {nothing} AS u, {nothing} AS a FROM (SELECT DISTINCT conv_id FROM conversations)"
+    closed_u = f"least(u, {insert('n', 'user')}, {insert('s', 'user')}, {insert('a', 'user')})"
+    return f"""
+WITH RECURSIVE
+crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+    FROM conversations
+),
+kinds AS (
+    SELECT * EXCLUDE (key, t), xor(list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(key, ''), lambda x: CAST(unicode(x) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS BIGINT) + 1])), 4294967295) % 20 AS kind
+    FROM keyed, crc_table
+),
+after_damage AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM kinds WHERE kind <> 0
+),
+ended AS (
+    SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place
+    FROM after_damage
+),
+faults AS (
+    SELECT conv_id, turn, role, text, place, lag(role) OVER (PARTITION BY conv_id ORDER BY place) AS last_role,
+           CASE WHEN body = '' THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+                WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+    FROM ended
+),
+steps AS (
+    SELECT conv_id, place, role, text, fault IN ('blank', 'duplicate') AS must_go,
+           CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS extra
+    FROM faults
+),
+begun AS ({first}),
+started AS (SELECT conv_id, n, s, {insert('n', 'user')} AS u FROM begun),
+search AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS place, n, s, u, {insert('u', 'assistant')} AS a FROM started
+    UNION ALL
+    SELECT conv_id, place, n, s, u, least(a, {insert('u', 'assistant')}) AS a
+    FROM (
+        SELECT conv_id, place, n, s, {closed_u} AS u, a
+        FROM (
+            SELECT conv_id, next.place, {edit('n', '4', 'D')} AS n, least({edit('s', '4', 'D')}, {keep('n', 's')}) AS s,
+                   least({u}) AS u, least({a}) AS a
+            FROM search JOIN steps next USING (conv_id)
+            WHERE next.place = search.place + 1
+        )
+    )
+),
+last AS (
+    SELECT conv_id, least(n, a) AS best FROM search
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY place DESC) = 1
+),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (last_role IS NOT NULL AND last_role[1] || role[1] NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit,
+       sha256(array_to_string(best.turns, chr(10))) AS repaired_sha256
+FROM last LEFT JOIN counts USING (conv_id)
+"""
+
+
+OP11_SQL = _sql()

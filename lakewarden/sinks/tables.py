@@ -6,14 +6,15 @@ a format with a commit log replaces a table atomically.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import re
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
+from lakewarden import storage
 
 # Casts that lose nothing, from -> to.
 _WIDER = {
@@ -28,6 +29,11 @@ _TEXT = ("csv", "json", "text", "xml")
 _MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_PATH_DOES_NOT_EXIST", "DELTA_TABLE_NOT_FOUND"}
 
 
+def _column(name: str) -> Column:
+    """The column of this very name, dots and other signs included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _save(df: DataFrame, path: str, fmt: str, mode: str, partition_by: tuple[str, ...]) -> None:
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
@@ -64,6 +70,14 @@ def require_columns(new: StructType, table: StructType, path: str, partition_by:
         raise ValueError(f"rows do not fit {path}: " + "; ".join(sorted(problems)))
 
 
+def fitted(df: DataFrame, table: DataFrame | None, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` as rows of ``table``: its columns in its order, narrower types cast. Anything else is an error."""
+    if table is None or not table.columns:
+        return df
+    require_columns(df.schema, table.schema, path, partition_by)
+    return df.select(*[_column(c) if c in partition_by else _column(c).cast(table.schema[c].dataType).alias(c) for c in table.columns])
+
+
 def append_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
     """Add rows to a table, creating it if needed.
 
@@ -71,18 +85,69 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: t
     written in the table's order. Anything else is an error before a row is written.
     """
     table = read_table(df.sparkSession, path, fmt)
-    if table is not None and table.columns:
-        require_columns(df.schema, table.schema, path, partition_by)
-        kept = [c if c in partition_by else F.col(c).cast(table.schema[c].dataType).alias(c) for c in table.columns]
-        df = df.select(*kept)
-    _save(df, path, fmt, "append", partition_by)
+    _save(fitted(df, table, path, partition_by), path, fmt, "append", partition_by)
+
+
+def append_once(df: DataFrame, path: str, fmt: str, writer: str, batch: int) -> None:
+    """Add the rows of a writer's numbered batch to a table, however often the same batch is offered.
+
+    A format with a commit log keeps the number itself. For others the batch is written to a hidden
+    folder of the table, its files are renamed into the table under names that tell writer and batch,
+    and a hidden file marks the batch as done. A run that broke off in between is cleared away and
+    repeated; files of other writers are not touched.
+    """
+    spark = df.sparkSession
+    if fmt not in _MERGED:
+        df.write.format(fmt).mode("append").option("txnAppId", writer).option("txnVersion", batch).save(path)
+        return
+    path = path.rstrip("/")
+    ledger, own = f"{path}/_batches/{writer}", f"part-{writer}-{batch:09d}-"
+    if storage.exists(spark, f"{ledger}/{batch}"):
+        return
+    staged = f"{ledger}/staged-{batch}"
+    df.write.format(fmt).mode("overwrite").save(staged)
+    for name in storage.names(spark, path, f"{own}*"):
+        storage.delete(spark, f"{path}/{name}")
+    for number, name in enumerate(sorted(storage.names(spark, staged, "part-*"))):
+        ending = name.partition(".")[2]
+        storage.rename(spark, f"{staged}/{name}", f"{path}/{own}{number:05d}.{ending}")
+    storage.create_empty(spark, f"{ledger}/{batch}")
+    storage.delete(spark, staged)
 
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
-    """Replace a table's rows."""
+    """Replace a table's rows.
+
+    Without a commit log readers may find no rows meanwhile; ``replace_registered`` has no such gap.
+    """
     _save(df, path, fmt, "overwrite", partition_by)
 
 
+def replace_registered(df: DataFrame, name: str, folder: str, partition_by: tuple[str, ...] = ()) -> str:
+    """Replace the rows of the registered table ``name`` without a moment when it has none.
+
+    The rows are written to ``folder``, which must not exist, read back and counted, and then the
+    table is pointed there. Readers see the old rows or the new; a failure before that leaves the table
+    as it was. Returns the old location, which nobody deletes here: readers may still be at it.
+    """
+    spark = df.sparkSession
+    details = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    fmt, old = details["Provider"].lower(), details["Location"]
+    if storage.exists(spark, folder):
+        raise ValueError(f"{folder} exists; a replacement needs a folder of its own")
+    counted = Observation("replacing rows")
+    rows = fitted(df, spark.table(name), name, partition_by).observe(counted, F.count(F.lit(1)).alias("n"))
+    _save(rows, folder, fmt, "errorifexists", partition_by)
+    found = spark.read.format(fmt).schema(rows.schema).load(folder).count()
+    if found != counted.get["n"]:
+        raise RuntimeError(f"{folder} holds {found} rows, not the {counted.get['n']} written")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+    return old
+
+
 @dataclass(frozen=True)
 class CopyResult:
     rows: int
@@ -114,15 +179,15 @@ def copy_dataset(
     files = rows.select(F.col("_metadata.file_path").alias("path")).distinct() if move else None
     layout = partition_by or _partition_columns(rows, source)
     counted = Observation("copied rows")
-    summary = (F.count(F.lit(1)).alias("n"), F.expr(f"bit_xor({_row_hash(rows)})").alias("hash"))
+    summary = digest(rows.schema)
     _save(rows.observe(counted, *summary), target, fmt, "overwrite" if remove_target else "errorifexists", layout)
     copied = counted.get
     target_rows = _as_written(spark, target, fmt)
     if set(target_rows.columns) != set(rows.columns):
         raise RuntimeError(f"{target} has columns {target_rows.columns}, {source} {rows.columns}")
-    typed = target_rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in rows.schema])
+    typed = target_rows.select(*[_column(f.name).cast(f.dataType).alias(f.name) for f in rows.schema])
     found = typed.agg(*summary).first()
-    if (copied["n"], copied["hash"]) != (found["n"], found["hash"]):
+    if copied != found.asDict():
         raise RuntimeError(f"{target} holds {found['n']} rows that differ from the {copied['n']} copied")
     return CopyResult(copied["n"], files)
 
@@ -146,6 +211,40 @@ def _partition_columns(rows: DataFrame, source: str) -> tuple[str, ...]:
     return tuple(name for name in re.findall(r"([^/=]+)=[^/]*/", below) if name in rows.columns)
 
 
-def _row_hash(rows: DataFrame) -> str:
-    columns = ", ".join(f"`{c}`" for c in sorted(rows.columns))
-    return f"xxhash64({columns})" if columns else "0"
+def _canonical(value: Column, kind: DataType) -> Column:
+    """The value with the entries of maps, at any depth, in the order of their keys."""
+    if isinstance(kind, MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(e["key"].alias("k"), _canonical(e["value"], kind.valueType).alias("v")))
+        return F.array_sort(entries, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+    if isinstance(kind, ArrayType) and _has_map(kind):
+        return F.transform(value, lambda item: _canonical(item, kind.elementType))
+    if isinstance(kind, StructType) and _has_map(kind):
+        fields = F.struct(*[_canonical(value.getField(f.name), f.dataType).alias(f.name) for f in kind])
+        return F.when(value.isNotNull(), fields)
+    return value
+
+
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, MapType) or (isinstance(kind, ArrayType) and _has_map(kind.elementType))
+
+
+def digest(schema: StructType) -> tuple[Column, ...]:
+    """Aggregates that tell two bags of rows apart, in whatever order their rows and maps' entries come.
+
+    The exclusive or of row hashes alone would not see two equal rows vanish, so their sums are taken
+    too: in halves, whose sums stay exact for 2**39 rows. Nulls count by place: a row hash leaves them
+    out, so the row's null columns go into it as well.
+    """
+    fields = sorted(schema, key=lambda f: f.name)
+    columns = [(_column(f.name), f.dataType) for f in fields]
+    nulls = F.concat_ws("", F.lit(""), *[F.when(c.isNull(), "1").otherwise("0") for c, _ in columns])
+    row = F.xxhash64(nulls, *[_canonical(c, kind) for c, kind in columns])
+    low, high = row.bitwiseAND(F.lit(0xFFFFFF)), F.shiftright(row, 40).bitwiseAND(F.lit(0xFFFFFF))
+    return (
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(row).alias("hash"),
+        F.sum(low).alias("low"),
+        F.sum(high).alias("high"),
+    )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakewarden.sinks.tables import read_table, require_columns
+from lakewarden import storage
+from lakewarden.sinks.tables import append_once, fitted, read_table
 
 # The checkpoint is the ledger of files: none is too old to be new.
 ANY_AGE = "36500d"
@@ -28,10 +31,14 @@ def ingest_new_files(
     The checkpoint is the ledger of files; it must lie in storage all executors share. After a
     failure the same call goes on where the last committed batch ended. ``files_per_batch`` bounds
     one commit when a first run meets a large backlog; the folder is listed once per run. Files of any
-    age are taken; Spark leaves out names that start with ``_`` or ``.``. A Parquet target must be
-    written by this stream only, because readers then follow the stream's own commit log. An existing
-    target must have the columns of ``schema``.
+    age are taken; Spark leaves out names that start with ``_`` or ``.``.
+
+    The target may have rows and other writers: they stay, and a batch that is repeated after a failure
+    is written once (``append_once``). An existing target must have the columns of ``schema``, of the
+    same or a wider type.
     """
+    if storage.exists(spark, f"{target.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{target} is kept by a stream's own log, which would hide rows added otherwise")
     reader = spark.readStream.schema(schema).option("header", header).option("recursiveFileLookup", True)
     reader = reader.option("maxFileAge", ANY_AGE)
     if files_per_batch is not None:
@@ -39,14 +46,16 @@ def ingest_new_files(
     rows = reader.csv(source)
     if lineage:
         rows = rows.select("*", F.col("_metadata.file_path").alias("source_file"))
-    table = read_table(spark, target, fmt)
-    if table is not None:
-        require_columns(rows.schema, table.schema, target)
+    rows = fitted(rows, read_table(spark, target, fmt), target)
+    writer = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+    def add(batch: DataFrame, number: int) -> None:
+        append_once(batch, target, fmt, writer, number)
+
     query = (
-        rows.writeStream.format(fmt)
-        .outputMode("append")
+        rows.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
     query.awaitTermination()

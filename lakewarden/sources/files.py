@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakewarden import storage
+from lakewarden.sources.tree import list_tree, store_of
+
 
 def refuse_hidden(path: str | list[str]) -> None:
     """Raise for listed files that Spark would leave out without a word: names with ``_`` or ``.`` in front."""
@@ -14,6 +21,13 @@ def refuse_hidden(path: str | list[str]) -> None:
             raise ValueError(f"{each} would not be read: its name starts with _ or .")
 
 
+def refuse_empty(spark: SparkSession, paths: list[str]) -> None:
+    """Raise for listed objects of zero bytes, which Spark would leave out without a word."""
+    for each in paths:
+        if storage.is_empty_file(spark, each):
+            raise ValueError(f"{each} would not be read: it is empty")
+
+
 def scan_csv_inferred(spark: SparkSession, path: str | list[str], schema: StructType | None = None) -> DataFrame:
     """Read CSV whose first line names the columns.
 
@@ -53,10 +67,34 @@ def scan_binary(spark: SparkSession, path: str | list[str], glob: str | None = N
     """Read whole objects as ``path, content``, at any depth below a folder.
 
     An object is one row, so it must be below 2 GiB. Spark leaves out objects of zero bytes and, of a
-    folder, names that start with ``_`` or ``.``; listed by path the latter are an error.
+    folder, names that start with ``_`` or ``.``; listed by path either is an error. ``scan_objects``
+    leaves nothing out.
     """
     refuse_hidden(path)
+    refuse_empty(spark, [path] if isinstance(path, str) else path)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path).select("path", "content")
+
+
+def _contents(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    store, base = store_of(root)
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            with store.open_input_stream(f"{base}/{path}") as stream:
+                content = stream.read()
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([content], pa.binary())], ["path", "content"])
+
+
+def scan_objects(spark: SparkSession, root: str, where: Column | None = None) -> DataFrame:
+    """Whole objects below ``root`` as ``path, content``: empty ones and those with hidden names too.
+
+    Paths are relative to the root. ``where`` chooses among the rows of ``list_tree`` before anything is
+    read. An object is one row, so it must be below 2 GiB.
+    """
+    files = list_tree(spark, root).where("NOT is_dir")
+    if where is not None:
+        files = files.where(where)
+    tasks = max(1, min(files.count(), 8 * spark.sparkContext.defaultParallelism))
+    return files.select("path").repartition(tasks).mapInArrow(partial(_contents, root), "path string, content binary")

@@ -8,7 +8,8 @@ key alone would be joined without one. ``one_row_per_key`` therefore groups on t
 the groups are the same, the partitioning is not reused, and the join gets its own shuffle of the
 already reduced rows.
 
-Broadcasting is left to the optimizer, which checks sizes at run time.
+Broadcasting is left to the optimizer, which checks sizes at run time; only a filter of fixed size is
+broadcast outright.
 """
 
 from __future__ import annotations
@@ -44,9 +45,27 @@ def flag_matching(left: DataFrame, right: DataFrame, key: str, flag: str) -> Dat
 def flag_listed(left: DataFrame, listing: DataFrame, key: str, flag: str) -> DataFrame:
     """As ``flag_matching``, for a listing that may be far larger than ``left``.
 
-    Rows of the listing that nobody asks for are dropped first; when the keys asked for are few,
-    that happens in the scan and the listing is not shuffled. The rest is laid out by the hash of
-    the key, as ``one_row_per_key`` needs it.
+    Rows of the listing that nobody asks for are dropped in its scan by a filter of the keys. What is
+    left is combined in map tasks, so the shuffle carries a key once per task, however often it is
+    listed.
     """
-    asked_for = keep_matching(listing.select(key), left, key)
-    return flag_matching(left, asked_for.repartition(F.xxhash64(key)), key, flag)
+    return flag_matching(left, narrowed(listing.select(key), key, left), key, flag)
+
+
+#: Bits of a filter of keys; its rows, one per 64 bits, are all that is ever broadcast of it.
+FILTER_BITS = 1 << 23
+
+
+def narrowed(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be one of ``wanted`` (a column of that name and type), found without a shuffle.
+
+    A filter of ``FILTER_BITS`` bits, whatever the number of keys, goes to all tasks. It lets all wanted
+    rows pass, and few others while the keys are fewer than its bits; a join behind it has to tell.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    bit = F.expr("shiftleft(1L, cast(_place % 64 as int))")
+    asked = wanted.where(F.col(key).isNotNull()).select(place.alias("_place"))
+    words = asked.groupBy(F.expr("_place div 64").alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    placed = df.withColumn("_place", place).withColumn("_at", F.expr("_place div 64"))
+    met = placed.join(F.broadcast(words), placed["_at"] == words["_word"])
+    return met.where(F.col("_bits").bitwiseAND(bit) != 0).select(*[df[c] for c in df.columns])

@@ -18,7 +18,7 @@ from lakewarden.functions.registration import (
     tag_operation,
     target_name,
 )
-from lakewarden.operators.matching import drop_matching, keep_matching, one_row_per_key
+from lakewarden.operators.matching import drop_matching, flag_matching, keep_matching, one_row_per_key
 
 
 @dataclass(frozen=True)
@@ -27,8 +27,9 @@ class SyncConfig:
 
     ``schemas`` are the managed schemas of ``catalog``. A registered name is a deletion candidate
     only if it starts with the composed prefix of a managed schema; names of other catalogs, other
-    tools or no prefix are never touched. Because ``_`` may occur inside schema names, a managed
-    schema ``a`` also claims the names of an unmanaged schema ``a_b``: list both in that case.
+    tools or no prefix are never touched. Because ``_`` may occur inside schema names, names alone let a
+    managed schema ``a`` claim those of an unmanaged schema ``a_b``: list both in that case, or give
+    targets with their owners (``registered_tables``), which then decide.
 
     ``object_urls_only`` requires locations to be object-store URLs; turn it off to register tables
     on any file system. ``fold_case`` lower-cases composed names, for target catalogs that do.
@@ -77,11 +78,38 @@ def compose_targets(catalog: DataFrame, config: SyncConfig) -> DataFrame:
     return catalog.withColumn("target", F.lower(name) if config.fold_case else name)
 
 
+OWNER = ("catalog_name", "schema_name")
+
+
 def owned_targets(targets: DataFrame, config: SyncConfig) -> DataFrame:
-    """The registered names this configuration may delete."""
+    """The registered names this configuration may delete.
+
+    Where the targets name their owners, the owner decides, and of a name without owner nothing is known.
+    """
+    if config.fold_case:
+        targets = targets.withColumn("target", F.lower("target"))
+    if not set(OWNER) <= set(targets.columns):
+        return targets.where(config.owns(F.col("target")))
+    return targets.where((F.col("catalog_name") == config.catalog) & F.col("schema_name").isin(*config.schemas))
+
+
+def unknown_targets(targets: DataFrame, config: SyncConfig) -> DataFrame:
+    """Registered names that look like this configuration's, but do not name an owner. Only where others do."""
+    if not set(OWNER) <= set(targets.columns):
+        return targets.select("target").limit(0)
     if config.fold_case:
         targets = targets.withColumn("target", F.lower("target"))
-    return targets.where(config.owns(F.col("target")))
+    nobody = F.col("catalog_name").isNull() | F.col("schema_name").isNull()
+    return targets.where(nobody & config.owns(F.col("target"))).select("target")
+
+
+def spare_unknown(planned: DataFrame, unknown: DataFrame) -> DataFrame:
+    """The plan with names of unknown owner skipped instead of deleted."""
+    flagged = flag_matching(planned, unknown, "target", "_unknown")
+    spared = (F.col("operation") == "delete") & F.col("_unknown")
+    reason = F.when(spared, "unknown owner").otherwise(F.col("reason"))
+    operation = F.when(spared, "skip").otherwise(F.col("operation"))
+    return flagged.withColumn("reason", reason).withColumn("operation", operation).drop("_unknown")
 
 
 def still_present(targets: DataFrame, sources: DataFrame) -> DataFrame:
@@ -160,6 +188,7 @@ def plan(sources: DataFrame, targets: DataFrame, config: SyncConfig) -> DataFram
     )
     routed = rows.select(
         "target",
+        "catalog_name",
         "schema_name",
         decision.alias("decision"),
         parsed["https"].alias("location"),
@@ -168,6 +197,7 @@ def plan(sources: DataFrame, targets: DataFrame, config: SyncConfig) -> DataFram
         "data_source_format",
     ).select(
         "target",
+        "catalog_name",
         "schema_name",
         "decision.operation",
         "decision.reason",

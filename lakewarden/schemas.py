@@ -54,6 +54,9 @@ OUTCOME_SCHEMA = T.StructType(
     ]
 )
 
+# Table properties that say which source table's catalog and schema a registration belongs to.
+CATALOG_PROPERTY, SCHEMA_PROPERTY = "lakewarden.catalog", "lakewarden.schema"
+
 # Body of a registration response.
 RESPONSE_SCHEMA = T.StructType(
     [

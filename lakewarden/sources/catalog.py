@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewarden.operators.sync import SyncConfig, select_schemas
-from lakewarden.schemas import CATALOG_SCHEMA, LISTING_SCHEMA
+from lakewarden.schemas import CATALOG_PROPERTY, CATALOG_SCHEMA, LISTING_SCHEMA, SCHEMA_PROPERTY
 
 
 def catalog_snapshot(
@@ -38,3 +38,20 @@ def registered_targets(spark: SparkSession, database: str) -> DataFrame:
     """Names of the tables registered in a database."""
     tables = spark.sql("SHOW TABLES IN `{}`".format(database.replace("`", "``")))
     return tables.where(~F.col("isTemporary")).select(F.col("tableName").alias("target"))
+
+
+def registered_tables(spark: SparkSession, database: str) -> DataFrame:
+    """target, catalog_name, schema_name of the tables registered in a database.
+
+    Catalog and schema are those the registration wrote into the table's properties; a table registered
+    otherwise has neither. With them a sync deletes by owner instead of by name.
+    """
+    tables = spark.sql("SHOW TABLE EXTENDED IN `{}` LIKE '*'".format(database.replace("`", "``")))
+    properties = F.regexp_extract("information", r"(?m)^Table Properties: \[(.*)\]$", 1)
+
+    def value(key: str) -> Column:
+        found = F.regexp_extract(properties, r"(?:^|, )" + key.replace(".", r"\.") + r"=([^,]*)", 1)
+        return F.when(found != "", F.url_decode(found))
+
+    owner = value(CATALOG_PROPERTY).alias("catalog_name"), value(SCHEMA_PROPERTY).alias("schema_name")
+    return tables.where(~F.col("isTemporary")).select(F.col("tableName").alias("target"), *owner)

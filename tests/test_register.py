@@ -6,8 +6,9 @@ from lakewarden.operators.sync import SyncConfig
 from lakewarden.plans.sync import sync_catalog
 from lakewarden.schemas import CATALOG_SCHEMA
 from lakewarden.session import new_folder
+from lakewarden.sinks import register
 from lakewarden.sinks.register import register_tables, unregister_tables
-from lakewarden.sources.catalog import registered_targets
+from lakewarden.sources.catalog import registered_tables, registered_targets
 
 CONFIG = SyncConfig(
     "gold",
@@ -133,3 +134,65 @@ def test_outcomes_do_not_depend_on_statements_in_flight(spark, tmp_path, in_flig
     done = unregister_tables(spark, gone, database, in_flight, chunk)
     assert sorted((r["target"], r["outcome"]) for r in done.collect()) == sorted([(f"n{i}", "deleted") for i in range(10)] + [("s", "already_absent")])
     spark.sql(f"DROP DATABASE {database}")
+
+
+def _registered(spark, database):
+    return {r.target: (r.catalog_name, r.schema_name) for r in registered_tables(spark, database).collect()}
+
+
+def test_owners_decide_what_is_deleted(spark, database, lake):
+    def rows(*entries):
+        return spark.createDataFrame([("gold", s, n, "EXTERNAL", "PARQUET", str(lake / "first")) for s, n in entries], CATALOG_SCHEMA)
+
+    both = SyncConfig("gold", ("a", "a_b"), ("EXTERNAL",), "PARQUET", object_urls_only=False, fold_case=True)
+    only_a = SyncConfig("gold", ("a",), ("EXTERNAL",), "PARQUET", object_urls_only=False, fold_case=True)
+    sync_catalog(spark, rows(("a", "x"), ("a", "y"), ("a_b", "z")), registered_tables(spark, database), both, database)
+    spark.sql(f"CREATE TABLE {database}.uc_gold_a_stranger USING parquet LOCATION '{lake / 'second'}'")
+    assert _registered(spark, database) == {
+        "uc_gold_a_x": ("gold", "a"),
+        "uc_gold_a_y": ("gold", "a"),
+        "uc_gold_a_b_z": ("gold", "a_b"),
+        "uc_gold_a_stranger": (None, None),
+    }
+    result = sync_catalog(spark, rows(("a", "x")), registered_tables(spark, database), only_a, database)
+    planned = {r.target: (r.operation, r.reason) for r in result.plan.collect()}
+    assert planned == {
+        "uc_gold_a_x": ("skip", "exists"),
+        "uc_gold_a_y": ("delete", "gone"),
+        "uc_gold_a_stranger": ("skip", "unknown owner"),
+    }
+    assert names(spark, database) == {"uc_gold_a_x", "uc_gold_a_b_z", "uc_gold_a_stranger"}
+
+
+def test_odd_owner_names_survive(spark, database, lake):
+    odd = "it's, a=b] \\ ü"
+    source = spark.createDataFrame([("gold", odd, "t", "EXTERNAL", "PARQUET", str(lake / "first"))], CATALOG_SCHEMA)
+    planned = source.selectExpr("'odd' AS target", "'create' AS operation", "'new' AS reason", "*")
+    assert [r.outcome for r in register_tables(spark, planned, database).collect()] == ["created"]
+    assert _registered(spark, database) == {"odd": ("gold", odd)}
+
+
+def test_a_run_that_broke_off_goes_on(spark, database, lake, monkeypatch):
+    many = [("gold", "dwh", f"t{i}", "EXTERNAL", "PARQUET", str(lake / "first")) for i in range(6)]
+    source = spark.createDataFrame(many, CATALOG_SCHEMA)
+    attempted = []
+    create = register._create
+
+    def stopping(spark, database, row):
+        if len(attempted) == 4 and not resumed:
+            raise KeyboardInterrupt
+        attempted.append(row.target)
+        return create(spark, database, row)
+
+    resumed = False
+    monkeypatch.setattr(register, "_create", stopping)
+    plan_id = uuid.uuid4().hex
+    options = {"plan_id": plan_id, "chunk": 2}
+    with pytest.raises(KeyboardInterrupt):
+        run(spark, source, database, **options)
+    assert len(names(spark, database)) == 4
+    resumed = True
+    result = run(spark, source, database, **options)
+    assert sorted(attempted) == [f"uc_gold_dwh_t{i}" for i in range(6)]
+    assert result.counters.first().asDict() == {"created": 6, "skipped": 0, "failed": 0, "deleted": 0}
+    assert result.plan_id == plan_id

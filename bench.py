@@ -96,10 +96,11 @@ def main() -> None:
             times[name] = measure(lambda name=name: queries.QUERIES[name](spark, sf_dir), runs)
         if copies > 1:
             listing = copies_of(inputs.inventory(spark, sf_dir), "path", copies)
-            tables = sync.compose_targets(inputs.catalog(spark, sf_dir), inputs.CONFIG)
+            config = inputs.config(spark, sf_dir)
+            tables = sync.compose_targets(inputs.catalog(spark, sf_dir), config)
             sources = copies_of(tables, "target", copies)
             targets = copies_of(inputs.targets(spark, sf_dir), "target", copies)
-            targets = sync.owned_targets(targets, inputs.CONFIG)
+            targets = sync.owned_targets(targets, config)
             times[f"dir_size_all_x{copies}"] = measure(lambda: inv.directory_sizes(listing, "MB"), 1)
             times[f"empty_folders_x{copies}"] = measure(lambda: inv.mark_empty_folders(listing), 1)
             times[f"sync_diff_x{copies}"] = measure(lambda: sync.diff(sources, targets), 1)

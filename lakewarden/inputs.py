@@ -23,8 +23,21 @@ from lakewarden.operators.sync import SyncConfig
 from lakewarden.session import new_folder
 
 CATALOG_NAME = "gold_dev"
-SCHEMAS = tuple(f"brand{i}" for i in range(1, 26))
-CONFIG = SyncConfig(catalog=CATALOG_NAME, schemas=SCHEMAS, connection_id="connection-1")
+
+
+def schemas(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """The schemas of the source catalog, one per brand."""
+    names = table(spark, sf_dir, "part").select(_schema_name().alias("name")).where("name IS NOT NULL").distinct()
+    return tuple(sorted(row.name for row in names.collect()))
+
+
+def config(spark: SparkSession, sf_dir: str) -> SyncConfig:
+    """All schemas of the source catalog are managed."""
+    return SyncConfig(catalog=CATALOG_NAME, schemas=schemas(spark, sf_dir), connection_id="connection-1")
+
+
+def _schema_name() -> Column:
+    return F.lower(F.replace("p_brand", F.lit("#")))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -133,7 +146,7 @@ def storage_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source table per part."""
-    schema = F.lower(F.replace("p_brand", F.lit("#")))
+    schema = _schema_name()
     name = F.concat(F.lit("part_"), F.col("p_partkey").cast("string"))
     return table(spark, sf_dir, "part").select(
         F.lit(CATALOG_NAME).alias("catalog_name"),
@@ -147,7 +160,7 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One registered name per part: current, outdated, of another catalog, or not managed at all."""
-    schema = F.lower(F.replace("p_brand", F.lit("#")))
+    schema = _schema_name()
     name = F.concat(F.lit("part_"), F.col("p_partkey").cast("string"))
     old_name = F.concat(F.lit("old_"), name)
     size = F.col("p_size")
@@ -161,6 +174,33 @@ def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(target.alias("target"))
 
 
+def owned_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``targets`` with their owners: outdated names belong to their schema, to a schema that begins like it, or to nobody known."""
+    schema, key, size = _schema_name(), F.col("p_partkey"), F.col("p_size")
+    outdated = size.between(16, 25)
+    owner = F.when(outdated & (key % 3 == 1), F.concat(schema, F.lit("_old"))).when(~outdated | (key % 3 == 0), schema)
+    name = F.concat(F.lit("part_"), key.cast("string"))
+    target = (
+        F.when(size <= 15, target_name(F.lit(CATALOG_NAME), schema, name))
+        .when(outdated, target_name(F.lit(CATALOG_NAME), schema, F.concat(F.lit("old_"), name)))
+        .otherwise(target_name(F.lit("silver_dev"), schema, name))
+    )
+    catalog_name = F.when(size > 25, "silver_dev").otherwise(CATALOG_NAME)
+    return table(spark, sf_dir, "part").select(target.alias("target"), catalog_name.alias("catalog_name"), owner.alias("schema_name"))
+
+
+def page_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An object per page below a folder per address, some empty, some hidden; a folder alone for addresses that end in a slash."""
+    number = F.col("page_id").cast("string")
+    folder = strip_trailing_slash(F.col("raw"))
+    hidden = F.when(F.col("page_id") % 3 == 0, "_").otherwise("")
+    content = F.when(F.col("page_id") % 7 == 0, "").otherwise(F.col("html"))
+    pages = _page_paths(spark, sf_dir).select("page_id", "raw").join(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    is_folder = F.col("raw").endswith("/")
+    path = F.when(is_folder, F.concat(folder, F.lit("/only_"), number)).otherwise(F.concat(folder, F.lit("/"), hidden, F.lit("page_"), number))
+    return pages.select(path.alias("path"), F.when(~is_folder, content.cast("binary")).alias("content"))
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One recorded create attempt per event."""
     item = F.get_json_object("props", "$.k")

@@ -66,6 +66,15 @@ def union_listings(listings: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, listings)
 
 
+def union_partitions(listings: DataFrame, config: SyncConfig, partition: str) -> DataFrame:
+    """All rows of listings that lie side by side, one partition per schema, in one scan of the configured ones.
+
+    A listing holds its own schema only; rows of another that stand in it are not taken.
+    """
+    chosen = F.col(partition).isin(*config.schemas) & (F.col(partition) == F.col("schema_name"))
+    return select_schemas(listings.where(chosen), config).drop(partition)
+
+
 def select_schemas(catalog: DataFrame, config: SyncConfig) -> DataFrame:
     """Tables of the configured schemas of the configured catalog."""
     chosen = (F.col("catalog_name") == config.catalog) & F.col("schema_name").isin(*config.schemas)

@@ -83,7 +83,8 @@ registered AS (
   FROM part
 ),
 targets AS (
-  SELECT target FROM registered WHERE regexp_matches(target, '^uc_gold_dev_brand([1-9]|1[0-9]|2[0-5])_')
+  SELECT target FROM registered
+  WHERE starts_with(target, 'uc_gold_dev_') AND split_part(target, '_', 4) IN (SELECT schema_name FROM catalog)
 )"""
 
 _PLAN = f"""
@@ -135,7 +136,94 @@ ORACLE: dict[str, str] = {
                o_orderstatus = 'O' AS is_open
         FROM orders""",
     "ingest_many_files": f"WITH {_SALES} SELECT order_year, count(*) AS n_rows FROM sales GROUP BY order_year",
-    "ingest_rerun": _SALES_ROWS,
+    "ingest_rerun": f"""
+        WITH {_SALES}
+        SELECT * EXCLUDE (order_year) FROM sales
+        UNION ALL BY NAME
+        SELECT c_name AS "CustomerName", c_mktsegment AS "Item" FROM customer""",
+    "load_csv_append": "SELECT o_orderkey, o_orderpriority, o_orderstatus = 'O' AS is_open FROM orders",
+    "replace_registered": "SELECT c_custkey AS id, c_mktsegment AS label FROM customer",
+    "copy_partitioned": """
+        SELECT l_orderkey, l_linenumber, l_quantity, year(l_shipdate) || '/l_returnflag=' || l_returnflag AS folder
+        FROM lineitem""",
+    "copy_mixed_columns": """
+        SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS o_custkey,
+               CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority
+        FROM orders""",
+    "copy_objects": _SALES_FILES,
+    "inventory_live": f"""
+        WITH {_INVENTORY}, placed AS (
+          SELECT rtrim(raw, '/') || CASE WHEN raw LIKE '%/' THEN '/only_' || page_id
+                   ELSE '/' || CASE WHEN page_id % 3 = 0 THEN '_' ELSE '' END || 'page_' || page_id END AS path,
+                 raw LIKE '%/' AS is_dir,
+                 CASE WHEN raw LIKE '%/' OR page_id % 7 = 0 THEN 0 ELSE strlen(html) END AS length
+          FROM addresses
+        )
+        SELECT path, is_dir, CAST(length AS BIGINT) AS length FROM placed
+        UNION ALL
+        SELECT DISTINCT array_to_string(string_split(path, '/')[1:i], '/'), true, 0
+        FROM placed, unnest(range(1, len(string_split(path, '/')))) AS levels(i)""",
+    "dir_size_folder": f"""
+        WITH {_INVENTORY}, first AS (SELECT min(split_part(path, '/', 1)) AS dir FROM inventory)
+        SELECT dir, CAST(sum(length) AS BIGINT) AS bytes, round_even(sum(length) / 1048576.0, 2) AS size
+        FROM inventory, first
+        WHERE NOT is_dir AND starts_with(path, dir || '/')
+        GROUP BY dir""",
+    "empty_folders_below": f"""
+        WITH {_INVENTORY}, kept AS (SELECT DISTINCT dir AS path FROM above WHERE NOT is_dir)
+        SELECT path, len(string_split(path, '/')) AS depth, true AS empty_folder
+        FROM folders ANTI JOIN kept USING (path)
+        WHERE starts_with(path, (SELECT min(split_part(path, '/', 1)) || '/' FROM inventory))""",
+    "exists_probe_few": f"""
+        WITH {_INVENTORY}, requests AS (
+          SELECT page_id, rtrim(raw, '/') AS path FROM addresses
+          UNION ALL
+          SELECT page_id, rtrim(raw, '/') || '/index.html' FROM addresses
+        )
+        SELECT page_id, path, path IN (SELECT path FROM inventory) AS exists FROM requests""",
+    "schema_selection": f"""
+        WITH {_CATALOG}
+        SELECT 'silver_dev' AS catalog_name, schema_name, name FROM catalog
+        WHERE right(schema_name, 1) IN ('1', '3')""",
+    "sync_ownership": f"""
+        WITH {_CATALOG}, owned AS (
+          SELECT lower(replace(p_brand, '#', '')) AS brand, p_partkey, p_size, p_size BETWEEN 16 AND 25 AS outdated FROM part
+        ), known AS (
+          SELECT 'uc_gold_dev_' || brand || '_part_' || p_partkey AS target FROM owned WHERE p_size <= 15
+        )
+        SELECT s.target,
+               CASE WHEN k.target IS NULL AND s.table_type = 'MANAGED' AND s.data_source_format = 'DELTA'
+                    THEN 'create' ELSE 'skip' END AS operation,
+               CASE WHEN k.target IS NOT NULL THEN 'exists'
+                    WHEN s.table_type <> 'MANAGED' THEN 'type:' || s.table_type
+                    WHEN s.data_source_format <> 'DELTA' THEN 'format:' || s.data_source_format
+                    ELSE 'new' END AS reason
+        FROM sources s LEFT JOIN known k ON s.target = k.target
+        UNION ALL
+        SELECT 'uc_gold_dev_' || brand || '_old_part_' || p_partkey,
+               CASE p_partkey % 3 WHEN 0 THEN 'delete' ELSE 'skip' END,
+               CASE p_partkey % 3 WHEN 0 THEN 'gone' ELSE 'unknown owner' END
+        FROM owned WHERE outdated AND p_partkey % 3 <> 1""",
+    "sync_conflicts": f"""
+        WITH {_CATALOG}, doubled AS (
+          SELECT target, schema_name, table_type, data_source_format FROM sources
+          UNION ALL
+          SELECT target, schema_name || '_part', table_type, data_source_format FROM sources
+        ), claimed AS (
+          SELECT DISTINCT target FROM registered WHERE starts_with(target, 'uc_gold_dev_')
+        )
+        SELECT d.target, schema_name,
+               CASE WHEN c.target IS NOT NULL THEN 'skip' ELSE 'conflict' END AS operation,
+               CASE WHEN c.target IS NOT NULL THEN 'exists' ELSE 'ambiguous name' END AS reason
+        FROM doubled d LEFT JOIN claimed c ON d.target = c.target
+        UNION ALL
+        SELECT target, NULL, 'delete', 'gone' FROM claimed ANTI JOIN sources USING (target)""",
+    "sync_outcomes": """
+        WITH brands AS (SELECT DISTINCT lower(replace(p_brand, '#', '')) AS brand FROM part)
+        SELECT 'first' AS run, count(*) AS created, 0 AS skipped, 0 AS failed, 0 AS deleted FROM brands
+        UNION ALL
+        SELECT 'second', 0, count(*) FILTER (brand NOT LIKE 'brand2%'), 0, count(*) FILTER (brand LIKE 'brand2%')
+        FROM brands""",
     "append_twice": "SELECT o_orderkey, o_orderstatus FROM orders",
     "overwrite_last_wins": "SELECT c_custkey AS id, c_mktsegment AS label FROM customer",
     "preview_top5": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 5",

@@ -4,27 +4,28 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewarden import inputs
 from lakewarden.functions import paths
-from lakewarden.inputs import CATALOG_NAME, CONFIG, SCHEMAS, table
+from lakewarden.inputs import CATALOG_NAME, table
 from lakewarden.operators import inventory as inv
 from lakewarden.operators import report, sync
 from lakewarden.operators.sync import SyncConfig
 from lakewarden.plans.housekeeping import directory_sizes, find_empty_folders
 from lakewarden.plans.ingest import ingest_files, ingest_orders, load_csv, preview
-from lakewarden.plans.sync import plan_sync, sync_catalog
+from lakewarden.plans.sync import SyncResult, plan_sync, sync_catalog
 from lakewarden.schemas import ORDER_SCHEMA
 from lakewarden.session import new_folder
-from lakewarden.sinks.tables import append_table, copy_dataset, overwrite_table
-from lakewarden.sources.catalog import catalog_snapshot, registered_targets
-from lakewarden.sources.files import scan_binary
+from lakewarden.sinks.objects import copy_objects, put_objects
+from lakewarden.sinks.tables import append_table, copy_dataset, overwrite_table, replace_registered
+from lakewarden.sources.catalog import catalog_snapshot, registered_tables, table_rows
+from lakewarden.sources.files import scan_binary, scan_objects
 from lakewarden.sources.inventory import inventory as read_inventory
 from lakewarden.sources.inventory import list_files, names_in_folder
+from lakewarden.sources.tree import list_tree
 from lakewarden.streaming.arrivals import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,8 +60,12 @@ def ingest_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arriving files in a table that has rows already: one per customer."""
     landed = inputs.landed_sales(spark, sf_dir)
     target, ledger = new_folder(spark, "arrivals"), new_folder(spark, "arrivals-ledger")
+    known = {"CustomerName": F.col("c_name"), "Item": F.col("c_mktsegment")}
+    columns = [known.get(name, F.lit(None)).cast("string").alias(name) for name in ORDER_SCHEMA.names]
+    append_table(table(spark, sf_dir, "customer").select(*columns), target)
     for _ in range(2):
         ingest_new_files(spark, landed, target, ORDER_SCHEMA, ledger)
     return spark.read.parquet(target)
@@ -95,6 +100,61 @@ def copied_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).withColumn("l_shipdate", F.col("l_shipdate").cast("date").cast("string"))
 
 
+def copy_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy of a dataset in folders by year and flag, whose layout and text of folder names stay."""
+    source, target = new_folder(spark, "by-year"), new_folder(spark, "by-year-copy")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", F.year("l_shipdate").alias("year"))
+    lines.hint("rebalance", "year").write.partitionBy("year", "l_returnflag").parquet(source)
+    copy_dataset(spark, source, target)
+    copied = spark.read.parquet(target).withColumn("folder", F.regexp_extract("_metadata.file_path", "year=([0-9]+/l_returnflag=[A-Z])/", 1))
+    return copied.select("l_orderkey", "l_linenumber", "l_quantity", "folder")
+
+
+def copy_mixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy of files that differ in columns."""
+    source, target = new_folder(spark, "mixed"), new_folder(spark, "mixed-copy")
+    orders = table(spark, sf_dir, "orders")
+    is_final = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    orders.where(is_final).select("o_orderkey", "o_custkey").write.parquet(source)
+    orders.where(~is_final).select("o_orderkey", "o_orderpriority").write.mode("append").parquet(source)
+    copy_dataset(spark, source, target)
+    return spark.read.option("mergeSchema", True).parquet(target).select("o_orderkey", "o_custkey", "o_orderpriority")
+
+
+def copy_objects_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order files copied byte for byte and read back: bytes and lines per year."""
+    target = new_folder(spark, "copied-files")
+    copy_objects(spark, inputs.landed_sales(spark, sf_dir), target)
+    objects = scan_objects(spark, target, F.col("path").endswith(".csv"))
+    year = F.regexp_extract("path", "order_year=([0-9]+)/", 1).cast("bigint").alias("order_year")
+    lines = F.regexp_count(F.decode("content", "UTF-8"), F.lit("\n")).alias("n_lines")
+    counted = objects.select(year, F.octet_length("content").alias("n_bytes"), lines)
+    return counted.groupBy("order_year").agg(F.sum("n_bytes").alias("n_bytes"), F.sum("n_lines").alias("n_lines"))
+
+
+def load_csv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two headed files appended one after the other; the second is read under the table's columns."""
+    target = new_folder(spark, "appended-csv")
+    orders = inputs.headed_orders(spark, sf_dir)
+    is_open = F.coalesce(F.col("is_open"), F.lit(False))
+    for part in (orders.where(is_open), orders.where(~is_open)):
+        source = new_folder(spark, "headed")
+        part.write.csv(source, header=True)
+        load_csv(spark, source, target, mode="append")
+    return spark.read.parquet(target).select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderpriority", "is_open")
+
+
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered table whose rows were replaced by pointing it at new ones."""
+    name = f"lakewarden_{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "o_orderpriority AS label")
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "c_mktsegment AS label")
+    orders.write.parquet(first := new_folder(spark, "first"))
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{first}'")
+    replace_registered(customers, name, new_folder(spark, "next"))
+    return spark.table(name)
+
+
 def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     objects = scan_binary(spark, inputs.landed_sales(spark, sf_dir), glob="*.csv")
     return (
@@ -192,6 +252,32 @@ def empty_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_empty_folders(inputs.inventory(spark, sf_dir))
 
 
+def dir_size_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes below one folder: the first of the root by name."""
+    listing = inputs.inventory(spark, sf_dir)
+    return inv.directory_size(listing, _first_folder(listing), unit="MB")
+
+
+def empty_folders_below(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listing = inputs.inventory(spark, sf_dir)
+    return find_empty_folders(listing, root=_first_folder(listing))
+
+
+def _first_folder(listing: DataFrame) -> str:
+    return listing.agg(F.min(F.substring_index("path", "/", 1))).first()[0] or ""
+
+
+def inventory_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree with empty folders, empty objects and hidden names, listed as it stands."""
+    root = new_folder(spark, "pages")
+    put_objects(inputs.page_objects(spark, sf_dir), root)
+    return list_tree(spark, root).select("path", "is_dir", "length")
+
+
+def exists_probe_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inv.probe_existence(inputs.existence_requests(spark, sf_dir), inputs.inventory(spark, sf_dir))
+
+
 def exists_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Two requests per page: they outnumber the objects.
     requests = inputs.existence_requests(spark, sf_dir)
@@ -204,20 +290,25 @@ def exists_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     export = new_folder(spark, "catalog")
     inputs.catalog(spark, sf_dir).write.json(export)
-    return catalog_snapshot(spark, export, CONFIG)
+    return catalog_snapshot(spark, export, inputs.config(spark, sf_dir))
 
 
 def union_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One listing per schema, each read from its own files only, then all of them together."""
+    """One listing per schema, each in a folder of its own, all of them read in one scan."""
     export = new_folder(spark, "listings")
     rows = inputs.catalog(spark, sf_dir).withColumn("listing", F.col("schema_name"))
     rows.hint("rebalance", "listing").write.partitionBy("listing").json(export)
-    exported = catalog_snapshot(spark, export)
-    listings = [
-        sync.select_schemas(exported.where(F.col("listing") == schema), SyncConfig(CATALOG_NAME, (schema,)))
-        for schema in SCHEMAS
-    ]
-    return sync.union_listings(listings).select("schema_name", "name", "table_type")
+    listings = sync.union_partitions(catalog_snapshot(spark, export), inputs.config(spark, sf_dir), "listing")
+    return listings.select("schema_name", "name", "table_type")
+
+
+def schema_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some schemas of one of two catalogs."""
+    gold = inputs.catalog(spark, sf_dir)
+    exported = new_folder(spark, "catalogs")
+    gold.unionByName(gold.withColumn("catalog_name", F.lit("silver_dev"))).write.json(exported)
+    chosen = tuple(name for name in inputs.schemas(spark, sf_dir) if name.endswith(("1", "3")))
+    return catalog_snapshot(spark, exported, SyncConfig("silver_dev", chosen)).select("catalog_name", "schema_name", "name")
 
 
 def targets_in_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,11 +316,12 @@ def targets_in_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sync.compose_targets(sync.select_schemas(inputs.catalog(spark, sf_dir), CONFIG), CONFIG)
+    config = inputs.config(spark, sf_dir)
+    return sync.compose_targets(sync.select_schemas(inputs.catalog(spark, sf_dir), config), config)
 
 
 def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sync.owned_targets(inputs.targets(spark, sf_dir), CONFIG)
+    return sync.owned_targets(inputs.targets(spark, sf_dir), inputs.config(spark, sf_dir))
 
 
 def sync_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,10 +341,26 @@ def sync_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sync_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = plan_sync(inputs.catalog(spark, sf_dir), inputs.targets(spark, sf_dir), CONFIG)
+    planned = plan_sync(inputs.catalog(spark, sf_dir), inputs.targets(spark, sf_dir), inputs.config(spark, sf_dir))
     return planned.select("target", "operation", "reason", "location", "subpath", "payload")
 
 
+def sync_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan against names that tell their owners: other schemas' names and those of nobody known stay."""
+    planned = plan_sync(inputs.catalog(spark, sf_dir), inputs.owned_names(spark, sf_dir), inputs.config(spark, sf_dir))
+    return planned.select("target", "operation", "reason")
+
+
+def sync_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two schemas whose tables compose the same names, some of them registered already."""
+    catalog, schemas = inputs.catalog(spark, sf_dir), inputs.schemas(spark, sf_dir)
+    longer = catalog.withColumn("schema_name", F.concat("schema_name", F.lit("_part")))
+    longer = longer.withColumn("name", F.substr("name", F.lit(len("part_") + 1)))
+    config = SyncConfig(CATALOG_NAME, (*schemas, *[f"{name}_part" for name in schemas]))
+    planned = plan_sync(catalog.unionByName(longer), inputs.targets(spark, sf_dir), config)
+    return planned.select("target", "schema_name", "operation", "reason")
+
+
 def sync_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.count_by(sync_plan(spark, sf_dir), "operation")
 
@@ -275,8 +383,8 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.run_counters(creations.unionByName(removals))
 
 
-def register_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per registered table after brands were registered and some of them withdrawn again."""
+def _register_brands(spark: SparkSession, sf_dir: str) -> tuple[str, list[SyncResult]]:
+    """A database in which a table per brand was registered and some of them withdrawn again; both runs."""
     lake = new_folder(spark, "lake")
     brand = F.lower(F.replace("p_brand", F.lit("#")))
     parts = table(spark, sf_dir, "part").withColumn("brand", brand)
@@ -286,7 +394,7 @@ def register_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"CREATE DATABASE {database} LOCATION '{new_folder(spark, 'database')}'")
     config = SyncConfig(
         CATALOG_NAME,
-        SCHEMAS,
+        inputs.schemas(spark, sf_dir),
         table_types=("EXTERNAL",),
         table_format="PARQUET",
         object_urls_only=False,
@@ -301,16 +409,23 @@ def register_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(f"{lake}/brand="), "brand").alias("storage_location"),
     ).distinct()
     remaining = brands.where(~F.col("schema_name").startswith("brand2"))
-    for snapshot in (brands, remaining):
-        registered = registered_targets(spark, database)
-        sync_catalog(spark, snapshot, registered, config, database, allow_empty_schemas=True)
-
-    names = [row.target for row in registered_targets(spark, database).toLocalIterator()]
-    counts = [
-        spark.table(f"{database}.{name}").agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("target"), "n_rows")
-        for name in names
+    runs = [
+        sync_catalog(spark, snapshot, registered_tables(spark, database), config, database, allow_empty_schemas=True)
+        for snapshot in (brands, remaining)
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return database, runs
+
+
+def register_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per registered table after brands were registered and some of them withdrawn again."""
+    database, _ = _register_brands(spark, sf_dir)
+    return table_rows(spark, database)
+
+
+def sync_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of two real runs."""
+    _, (first, second) = _register_brands(spark, sf_dir)
+    return first.counters.select(F.lit("first").alias("run"), "*").unionByName(second.counters.select(F.lit("second").alias("run"), "*"))
 
 
 QUERIES: dict[str, Query] = {
@@ -351,4 +466,17 @@ QUERIES: dict[str, Query] = {
     "removal_outcomes": removal_outcomes,
     "run_counters": run_counters,
     "register_roundtrip": register_roundtrip,
+    "load_csv_append": load_csv_append,
+    "replace_registered": replaced_table,
+    "copy_partitioned": copy_partitioned,
+    "copy_mixed_columns": copy_mixed_columns,
+    "copy_objects": copy_objects_whole,
+    "inventory_live": inventory_live,
+    "dir_size_folder": dir_size_folder,
+    "empty_folders_below": empty_folders_below,
+    "exists_probe_few": exists_probe_few,
+    "schema_selection": schema_selection,
+    "sync_ownership": sync_ownership,
+    "sync_conflicts": sync_conflicts,
+    "sync_outcomes": sync_outcomes,
 }

@@ -5,7 +5,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lakewarden import inputs
 from lakewarden.operators import inventory as inv
 from lakewarden.operators import matching, report, sync
 from lakewarden.queries import QUERIES
@@ -112,9 +111,10 @@ def test_hot_name_is_split_in_the_sync_plan(spark, eager_skew_split):
         F.lit("DELTA").alias("data_source_format"),
         F.concat(F.lit("abfss://c@acct/"), F.sha2(F.col("id").cast("string"), 256)).alias("storage_location"),
     )
-    sources = sync.compose_targets(catalog, inputs.CONFIG)
+    config = sync.SyncConfig("gold_dev", ("brand1",))
+    sources = sync.compose_targets(catalog, config)
     targets = sources.where("name = 'hot'").select("target")
-    result = sync.plan(sources, targets, inputs.CONFIG)
+    result = sync.plan(sources, targets, config)
     assert "skew=true" in final_plan_text(result)
     assert dict(result.groupBy("operation").count().collect()) == {"create": 80_000, "skip": 40_000}
 

@@ -31,24 +31,6 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-#: Bits of a filter of keys; its rows, one per 64 bits, are all that is ever broadcast of it.
-FILTER_BITS = 1 << 23
-
-
-def narrowed(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose ``key`` may be one of ``wanted`` (a column of that name and type), found without a shuffle.
-
-    A filter of ``FILTER_BITS`` bits, whatever the number of keys, goes to all tasks. It lets all wanted
-    rows pass, and few others while the keys are fewer than its bits; a join behind it has to tell.
-    """
-    place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
-    bit = F.expr("shiftleft(1L, cast(_place % 64 as int))")
-    words = wanted.select(place.alias("_place")).groupBy(F.expr("_place div 64").alias("_word")).agg(F.bit_or(bit).alias("_bits"))
-    placed = df.withColumn("_place", place).withColumn("_at", F.expr("_place div 64"))
-    met = placed.join(F.broadcast(words), placed["_at"] == words["_word"])
-    return met.where(F.col("_bits").bitwiseAND(bit) != 0).select(*df.columns)
-
-
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Within the block, texts travel to Python workers in batches of at most ``rows``.

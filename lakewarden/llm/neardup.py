@@ -27,9 +27,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import mix, narrowed, saved, small_batches, table
+from lakewarden.llm.common import mix, saved, small_batches, table
 from lakewarden.llm.components import connected
 from lakewarden.llm.shingles import shingle_sets
+from lakewarden.operators.matching import narrowed
 
 REGISTERS = 120
 BASE = 1.001

@@ -32,7 +32,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import narrowed, saved, table
+from lakewarden.llm.common import saved, table
+from lakewarden.operators.matching import narrowed
 
 _LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {

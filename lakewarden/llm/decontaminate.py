@@ -1,11 +1,14 @@
 """Benchmark decontamination with a BM25 inverted index and block-max pruning.
 
 Test items are cut into segments of bounded length and indexed: per term the segments that hold it
-and the term's BM25 weight there, as a share of the weight of the whole segment. Every passage of
+and the term's BM25 weight there, as a share of the weight of the whole segment. Document frequencies
+and the average length are those of all segments of the benchmark. Every passage of
 every document is a query; passages overlap so that any segment lies whole in one. A passage's score
 for a segment is the share of the segment's weight that it holds.
 
-Retrieval is exact, by bounds. Frequent terms whose greatest weights together stay well below the
+Retrieval is exact, by bounds, and returns what a search of the whole index would. Instead of moving
+one pivot per document, as WAND does, all passages of a slice are bounded at once: the same upper bounds
+per term and block decide, but in numpy, not in a loop over postings. Frequent terms whose greatest weights together stay well below the
 threshold are not essential: a passage that reaches the threshold must hold essential ones too, so
 only these are looked at first. Passages that may reach it are bounded block by block of segments by
 the greatest weight of each term in the block, and only blocks that may reach it are scored.
@@ -13,10 +16,10 @@ the greatest weight of each term in the block, and only blocks that may reach it
 Retrieved items are verified on the text: the share of the word trigrams of the question, and of the
 answer, the item's last sentence, that occur around the passage. Of fewer than three words, the whole
 sequence has to occur. Numbers are words, and those of the item have to occur too: the same wording
-with other numbers is another item. Scripts without spaces have a word per character.
+with other numbers is another item. Commas between groups of three digits do not count. Scripts without spaces have a word per character.
 
 The index stays with each task; it is built over at most ``SHARD`` items at a time, and a larger
-benchmark takes one pass over the documents per shard.
+benchmark takes one pass over the documents per shard. Shards do not change the result.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import FOLD, SPACE, mix, table, utf8, words_of
+from lakewarden.llm.common import FOLD, SPACE, mix, saved, table, utf8, words_of
 from lakewarden.llm.shingles import whole_rows
 
 SEGMENT = 64
@@ -39,8 +42,8 @@ SEGMENT = 64
 BLOCKS = 32
 SHARD = 20_000
 THRESHOLD = 0.5
-#: Shares of the question's and of the answer's trigrams; a question alone must be nearly whole.
-BOTH, ALONE = 0.5, 0.8
+#: Shares of the question's and of the answer's trigrams; a question alone must be mostly whole.
+BOTH, ALONE = 0.5, 0.7
 K1, B = 1.2, 0.75
 SLOTS = 20
 _KEYS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
@@ -49,12 +52,20 @@ DIGIT = np.array([48 <= b <= 57 for b in range(256)])
 _FOLD = np.where(DIGIT, np.arange(256), FOLD).astype(np.uint8)
 
 
-def _fold(raw: np.ndarray) -> np.ndarray:
-    """Words in lower case, everything that is neither letter nor digit of theirs a space."""
+def _fold(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words in lower case, everything that is neither letter nor digit of theirs a space; and the places left out.
+
+    A comma before a group of three digits is left out, so that a number is one word however it is written.
+    """
     folded = _FOLD[raw]
     capital = np.append(False, raw[:-1] == 0xC3) & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)
     folded[capital] += 0x20
-    return folded
+    digit = np.concatenate([DIGIT[raw], np.zeros(5, bool)])
+    comma = np.flatnonzero(raw == 44)
+    comma = comma[comma > 0]
+    grouped = digit[comma - 1] & digit[comma + 1] & digit[comma + 2] & digit[comma + 3] & ~digit[comma + 4]
+    gone = comma[grouped]
+    return np.delete(folded, gone), gone
 
 
 def _spread(folded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +89,7 @@ def _spread(folded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a text, and which of them hold a digit."""
-    folded, _ = _spread(_fold(np.frombuffer(text.encode(), np.uint8)))
+    folded, _ = _spread(_fold(np.frombuffer(text.encode(), np.uint8))[0])
     starts, ends, hashes = words_of(folded)
     digits = np.append(0, np.cumsum(DIGIT[folded]))
     return hashes, digits[ends] > digits[starts]
@@ -154,23 +165,48 @@ class Index:
         return out
 
 
-def build_index(items: list[tuple[int, str]], threshold: float = THRESHOLD) -> Index | None:
+@dataclass
+class Statistics:
+    """Of all segments of a benchmark: their number, words and, for some sorted terms, how many hold each."""
+
+    segments: int
+    words: int
+    terms: np.ndarray
+    df: np.ndarray
+
+    @staticmethod
+    def of(texts: list[str]) -> Statistics:
+        pieces = [piece for text in texts for piece in segments_of(word_hashes(text))]
+        held = [np.unique(piece) for piece in pieces] or [np.zeros(0, np.uint64)]
+        terms, df = np.unique(np.concatenate(held), return_counts=True)
+        return Statistics(len(pieces), sum(map(len, pieces)), terms, df)
+
+
+def segments_of(hashes: np.ndarray) -> list[np.ndarray]:
+    """The words of an item in segments of bounded, nearly equal length."""
+    return np.array_split(hashes, -(-len(hashes) // SEGMENT)) if len(hashes) else []
+
+
+def build_index(items: list[tuple[int, str]], threshold: float = THRESHOLD, statistics: Statistics | None = None) -> Index | None:
+    """The index of the items; without ``statistics`` they are the whole benchmark."""
     kept = [(number, text, word_hashes(text)) for number, text in items if text]
     kept = [k for k in kept if len(k[2])]
     if not kept:
         return None
+    statistics = statistics or Statistics.of([text for _, text, _ in kept])
     owner, parts = [], []
     for at, (_, _, hashes) in enumerate(kept):
-        pieces = max(1, -(-len(hashes) // SEGMENT))
-        for piece in np.array_split(hashes, pieces):
+        for piece in segments_of(hashes):
             owner.append(at)
             parts.append(np.unique(piece, return_counts=True))
     lengths = np.array([c.sum() for _, c in parts], float)
-    terms, number, df = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True, return_counts=True)
+    terms, number = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)
+    df = statistics.df[np.searchsorted(statistics.terms, terms)]
     segment = np.repeat(np.arange(len(parts)), [len(t) for t, _ in parts])
     tf = np.concatenate([c for _, c in parts]).astype(float)
-    idf = np.log1p((len(parts) - df + 0.5) / (df + 0.5))
-    weight = idf[number] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[segment] / lengths.mean()))
+    idf = np.log1p((statistics.segments - df + 0.5) / (df + 0.5))
+    mean = statistics.words / statistics.segments
+    weight = idf[number] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[segment] / mean))
     weight /= np.bincount(segment, weight)[segment]
     order = np.lexsort((segment, number))
     number, segment, weight = number[order], segment[order], weight[order]
@@ -221,7 +257,9 @@ def _matches(index: Index, slots: np.ndarray, texts: pa.Array, threshold: float)
     """(row, item, score, question share, answer share) of verified matches."""
     passage, stride = 2 * SEGMENT, SEGMENT
     for begin, _, raw, stops in whole_rows(*utf8(texts)):
-        folded, put = _spread(_fold(raw))
+        folded, gone = _fold(raw)
+        stops = stops - np.searchsorted(gone, stops)
+        folded, put = _spread(folded)
         stops = stops + np.searchsorted(put, stops, side="right")
         starts, _, hashes = words_of(folded)
         if not len(hashes):
@@ -284,26 +322,63 @@ def _clean(index: Index, threshold: float, batches: Iterator[pa.RecordBatch]) ->
         yield batch.filter(pa.array(keep))
 
 
+def _segment_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, term, segments, words): a row per distinct term of a segment, and one without term per item."""
+    for batch in batches:
+        shards, terms, counts, words = [], [], [], []
+        for shard, text in zip(batch.column("shard").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            pieces = segments_of(word_hashes(text))
+            for piece in pieces:
+                own = np.unique(piece).view(np.int64).tolist()
+                shards += [shard] * len(own)
+                terms += own
+                counts += [1] * len(own)
+                words += [0] * len(own)
+            shards.append(shard)
+            terms.append(None)
+            counts.append(len(pieces))
+            words.append(sum(map(len, pieces)))
+        kinds = pa.int64()
+        yield pa.RecordBatch.from_arrays([pa.array(c, kinds) for c in (shards, terms, counts, words)], ["shard", "term", "segments", "words"])
+
+
 def indexes(benchmark: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD) -> Iterator[Index]:
-    """Indexes of ``benchmark`` (item_id, text), of about ``shard`` items each; null and empty items are left out."""
+    """Indexes of ``benchmark`` (item_id, text), of about ``shard`` items each; null and empty items are left out.
+
+    Spark counts the terms of all items; the driver reads a shard's items and the counts of its terms.
+    """
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("bigint"), "text").distinct()
     shards = max(1, -(-items.count() // shard))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
+    items = saved(items, "benchmark-items")
+    held = items.select("shard", "text").mapInArrow(_segment_terms, "shard bigint, term bigint, segments bigint, words bigint")
+    held = held.groupBy("shard", "term").agg(F.sum("segments").alias("segments"), F.sum("words").alias("words"))
+    held = saved(held, "benchmark-terms")
+    total = held.where("term IS NULL").agg(F.sum("segments").alias("segments"), F.sum("words").alias("words")).first()
+    df = held.where("term IS NOT NULL").groupBy("term").agg(F.sum("segments").alias("df"))
+    df = saved(held.where("term IS NOT NULL").select("shard", "term").join(df, "term"), "benchmark-frequencies")
     for number in range(shards):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == number)
-        index = build_index([(r["item_id"], r["text"]) for r in own.orderBy("item_id", "text").collect()], threshold)
+        own = items.where(F.col("shard") == number).orderBy("item_id", "text").collect()
+        counted = df.where(F.col("shard") == number).select("term", "df").toPandas()
+        terms = counted["term"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(terms)
+        statistics = Statistics(total["segments"] or 0, total["words"] or 0, terms[order], counted["df"].to_numpy(np.int64)[order])
+        index = build_index([(r["item_id"], r["text"]) for r in own], threshold, statistics)
         if index is not None:
             yield index
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD) -> DataFrame:
     """doc_id, item_id, score, question_share, answer_share of every document that holds an item.
 
-    One row per row of ``docs`` (doc_id, text) and item, with the best passage's figures. Null texts
-    hold nothing.
+    One row per row of ``docs`` (doc_id, text) and item, with the best passage's figures; rows that
+    repeat an id or a text are told on their own, and so are items. Texts are searched whole, however
+    long. Null and empty texts hold nothing, null and empty items stand in nothing; an empty table on
+    either side gives no rows.
     """
     read = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint"), "text")
     found = read.sparkSession.createDataFrame([], SCHEMA)
-    for index in indexes(benchmark, threshold):
+    for index in indexes(benchmark, threshold, shard):
         found = found.unionByName(read.mapInArrow(partial(_pairs, index, threshold), SCHEMA))
     return found
 

@@ -74,15 +74,19 @@ def _shrink(total: dict, row: int) -> None:
         total[row] = (kept, full[kept].astype(np.int32))
 
 
-def training_sample(docs: DataFrame, per_language: int, languages: int) -> DataFrame:
-    """About ``per_language`` labelled rows of each of the ``languages`` most frequent languages.
+def training_sample(docs: DataFrame, per_language: int, in_all: int) -> DataFrame:
+    """About ``per_language`` labelled rows of each language, fewer where that would be more than ``in_all``.
+
+    Of a language with fewer rows all are taken, so every language is learned, however rare.
 
     Each language has its own share of the hash range, so no language is gathered in one place.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    # One row per language.
+    sizes = known.groupBy("lang").count().orderBy("lang").collect()
     if not sizes:
         return known.limit(0)
+    per_language = max(1, min(per_language, in_all // len(sizes)))
     share = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], min(1.0, per_language / row["count"]))])
     place = (F.pmod(sample_key("doc_id", "text"), F.lit(1_000_003)) + 0.5) / 1_000_003
     most = 2 * per_language * len(sizes)
@@ -92,7 +96,7 @@ def training_sample(docs: DataFrame, per_language: int, languages: int) -> DataF
 def fit(
     docs: DataFrame,
     per_language: int = 600,
-    languages: int = 100,
+    in_all: int = 60_000,
     dimensions: int = 16,
     epochs: int = 12,
     rate: float = 4.0,
@@ -101,10 +105,10 @@ def fit(
 ) -> LanguageModel | None:
     """Fit to rows of (doc_id, text, lang); rows without text or language are left out.
 
-    The driver holds bucket counts of at most ``2 * per_language * languages`` texts. Without any
-    labelled row there is no model.
+    The driver holds bucket counts of at most about ``2 * in_all`` texts, and one row per language. Rows
+    that repeat are drawn alike. Without any labelled row there is no model.
     """
-    sample = training_sample(docs.select("doc_id", "text", "lang"), per_language, languages)
+    sample = training_sample(docs.select("doc_id", "text", "lang"), per_language, in_all)
     counted = sample.mapInArrow(_counts, "lang string, buckets array<int>, counts array<int>").toPandas()
     counted = counted[counted["buckets"].map(len) > 0].reset_index(drop=True)
     if counted.empty:

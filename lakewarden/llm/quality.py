@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import remainder, sample_key, saved, sigmoid, slices, table, utf8, words_of
+from lakewarden.llm.common import SLICE_BYTES, remainder, sample_key, saved, sigmoid, slices, table, utf8, words_of
 
 SHAPES = 256
 SOURCES, LANGS, LENGTHS = 64, 16, 24
@@ -48,6 +48,8 @@ def text_view(texts: pa.Array) -> np.ndarray:
     n = len(texts)
     kinds, shapes = np.zeros((n, len(KINDS))), np.zeros((n, SHAPES))
     size, words, again, fresh = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+    # Distinct words of texts that take several slices.
+    long_texts: dict[int, np.ndarray] = {int(row): np.zeros(0, np.uint64) for row in np.flatnonzero(np.diff(offsets) > SLICE_BYTES)}
     for raw, rows, starts in slices(data, offsets):
         for k, kind in enumerate(KINDS.values()):
             np.add.at(kinds[:, k], rows, np.add.reduceat(kind[raw], starts, dtype=np.int64))
@@ -63,10 +65,13 @@ def text_view(texts: pa.Array) -> np.ndarray:
             np.add.at(words, row, 1)
             same = (hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1])
             np.add.at(again, row[1:], same)
-            # Words new to a slice; a text longer than a slice counts its words once per slice.
+            for own in long_texts.keys() & set(rows.tolist()):
+                long_texts[own] = np.union1d(long_texts[own], hashes[row == own])
             order = np.lexsort((hashes, row))
             differs = np.append(True, (np.diff(row[order]) != 0) | (np.diff(hashes[order]) != 0))
             np.add.at(fresh, row[order], differs)
+    for own, seen in long_texts.items():
+        fresh[own] = len(seen)
     size, most = np.maximum(size, 1)[:, None], np.maximum(words, 1)
     lengths = np.log1p(words)
     dense = np.column_stack([kinds / size, fresh / most, again / most, lengths / 10, words / size[:, 0], words == 0])
@@ -243,10 +248,16 @@ def _mark(model: QualityModel, threshold: float, batches: Iterator[pa.RecordBatc
 
 
 def keep_good(docs: DataFrame, model: QualityModel | None, threshold: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` with a score of ``threshold`` or more, all columns as they are."""
+    """Rows of ``docs`` with a score of ``threshold`` or more, all columns as they are.
+
+    Rows that repeat are judged alike, null texts as empty ones; an empty table gives no rows.
+    """
     if model is None:
         return docs
-    return docs.withColumn("_page_view", page_view()).mapInArrow(partial(_mark, model, threshold), docs.schema)
+    name = "_page_view"
+    while name in docs.columns:
+        name += "_"
+    return docs.select("*", page_view().alias(name)).mapInArrow(partial(_mark, model, threshold), docs.schema)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

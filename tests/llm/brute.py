@@ -57,7 +57,7 @@ def shingles(text) -> frozenset:
     return frozenset(zip(*[own[i:] for i in range(5)], strict=False))
 
 
-def components(docs: dict) -> dict:
+def components(docs: dict, linked: int = 85) -> dict:
     """Smallest reachable id by id, all pairs of different sets compared."""
     sets = collections.defaultdict(list)
     for number, text in docs.items():
@@ -80,7 +80,7 @@ def components(docs: dict) -> dict:
     for i, (s, a) in enumerate(own):
         for t, b in own[:i]:
             both = len(s & t)
-            if 100 * both >= 85 * (len(s) + len(t) - both):
+            if 100 * both >= linked * (len(s) + len(t) - both):
                 join(a[0], b[0])
     return {n: root(n) for n in docs}
 

@@ -141,7 +141,7 @@ def test_stages_keep_columns_and_take_empty_tables(spark, odd_dir, empty_dir, st
 def test_stages_drop_what_their_operators_find(spark, odd_dir, rows):
     docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
-    expected = brute.components({n: t for n, t in rows if n is not None})
+    expected = brute.components({n: t for n, t in rows if n is not None}, 80)
     left = Counter(r["doc_id"] for r in stages["near_dedup"](spark, docs, odd_dir).collect())
     assert left == Counter(n for n, _ in rows if n is None or expected[n] == n)
     bad = {r["doc_id"] for r in QUERIES["op3_decontaminate"](spark, odd_dir).collect()}

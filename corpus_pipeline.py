@@ -16,15 +16,23 @@ from lakewarden.llm.common import saved, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that the co-trained classifier, fitted to the labels of ``docs``, does not reject."""
+    """Keep documents that the co-trained classifier, fitted to the labels of ``docs``, does not reject.
+
+    Null texts are judged as empty ones, rows that repeat are judged alike, and without labels all stay.
+    """
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
-def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, linked: int = neardup.LINKED) -> DataFrame:
+#: Similarity in hundredths from which the pipeline takes texts for near duplicates.
+NEAR = 80
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, linked: int = NEAR) -> DataFrame:
     """Keep one document of each group of near duplicates, the one with the smallest id.
 
     Texts are near duplicates at a similarity of ``linked`` hundredths or more.
-    Rows without an id have no duplicates and stay; rows that repeat a kept id stay together.
+    Rows without an id have no duplicates and stay; rows that repeat a kept id stay together. Null and
+    empty texts have no duplicates; an empty table stays empty.
     """
     dropped = neardup.near_duplicates(docs, linked).where(~F.col("kept")).select("doc_id").distinct()
     dropped = saved(dropped, "near-duplicate-ids")
@@ -32,7 +40,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, linked:
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
+    """Drop documents that hold a benchmark item; null and empty texts hold none, rows that repeat go together."""
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -43,7 +51,10 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokenize and pack into sequences of at most 2048 ids: one row per piece."""
+    """Tokenize and pack into sequences of at most 2048 ids: one row per piece.
+
+    Null and empty texts are one piece, their end id; rows that repeat are packed each.
+    """
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -56,12 +57,19 @@ def sample_key(*columns: str) -> Column:
     return F.xxhash64(F.lit("sample"), *columns)
 
 
-def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column and the offsets of its rows; null is empty.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
-    Arrow gives memory of earlier batches back first: a worker lives longer than its task.
-    """
+
+def give_back() -> None:
+    """Return memory of earlier batches to the system: a worker lives longer than its task."""
     pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a string column and the offsets of its rows; null is empty."""
+    give_back()
     column = pc.fill_null(column, "").cast(pa.large_string())
     _, offsets, data = column.buffers()
     starts = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]

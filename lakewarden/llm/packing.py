@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import saved, small_batches, table
+from lakewarden.llm.common import give_back, saved, small_batches, table
 from lakewarden.llm.tokenfile import with_end
 from lakewarden.llm.tokens import encoder
 
@@ -71,6 +71,8 @@ def _pieces(path: str, end_id: int, capacity: int, batches: Iterator[pa.RecordBa
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
         arrays = [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32", "salt"])
+        del ids, counts, out, columns, arrays
+        give_back()
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
@@ -264,7 +266,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: i
 
     Null and empty texts are one piece, their end id. Null and repeated ids are packed like others.
     """
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, 300):
         pieces = saved(tokenized_pieces(docs, tokenizer, end_id, capacity), "pieces")
     return pack(pieces, capacity)
 

@@ -24,7 +24,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 #: Text encoded at a time, and the size above which one text is encoded in parts.
 SLICE_CHARS = 6_000_000
 #: Pieces a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 #: Words in one call of the library.
 JOINED = 500
 #: Letters that compose with nothing, and whose lower case does not depend on their place.

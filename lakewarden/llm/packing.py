@@ -261,12 +261,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> D
     return ranked.mapInArrow(assign, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, batch_rows: int = 1000) -> DataFrame:
     """Tokenize, cut and pack (doc_id, text): one row per piece.
 
+    Fewer ``batch_rows`` take less memory of a worker, and more time.
+
     Null and empty texts are one piece, their end id. Null and repeated ids are packed like others.
     """
-    with small_batches(docs.sparkSession, 300):
+    with small_batches(docs.sparkSession, batch_rows):
         pieces = saved(tokenized_pieces(docs, tokenizer, end_id, capacity), "pieces")
     return pack(pieces, capacity)
 

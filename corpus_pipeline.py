@@ -55,7 +55,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Null and empty texts are one piece, their end id; rows that repeat are packed each.
     """
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    # Workers of earlier stages still hold some memory; small batches leave it to them.
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), batch_rows=300)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -344,3 +344,45 @@ def _across(smaller: DataFrame, larger: DataFrame, linked: int) -> DataFrame:
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at a similarity of 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE
+texts AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+words AS (
+    SELECT row, doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i, len(w) AS words FROM texts
+),
+runs AS (
+    SELECT row, doc_id, words, i, string_agg(word, ' ') OVER (PARTITION BY row ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS shingle
+    FROM words
+),
+-- The whole text, where it has fewer words.
+held AS (
+    SELECT DISTINCT row, doc_id, shingle FROM runs WHERE i = 1 OR i + 4 <= words
+),
+sized AS (
+    SELECT texts.row, texts.doc_id, count(shingle) AS n FROM texts LEFT JOIN held USING (row) GROUP BY ALL
+),
+shared AS (
+    SELECT a.row AS a, b.row AS b, count(*) AS both_have FROM held a JOIN held b USING (shingle)
+    WHERE a.row <> b.row AND a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL GROUP BY 1, 2
+),
+links AS (
+    SELECT a, b FROM shared JOIN sized x ON x.row = a JOIN sized y ON y.row = b
+    WHERE 100 * both_have >= 85 * (x.n + y.n - both_have)
+),
+reached AS (
+    SELECT a AS row, b AS other FROM links
+    UNION
+    SELECT reached.row, links.b FROM reached JOIN links ON reached.other = links.a
+),
+least AS (
+    SELECT reached.row, min(sized.doc_id) AS least FROM reached JOIN sized ON sized.row = reached.other GROUP BY 1
+)
+SELECT doc_id, n AS n_shingles, least(doc_id, least) AS component_id, coalesce(doc_id = least(doc_id, least), TRUE) AS kept
+FROM sized LEFT JOIN least USING (row)
+"""

@@ -331,3 +331,53 @@ def sanitize(docs: DataFrame) -> DataFrame:
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and disclosing terms in all documents."""
     return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+_SQL_CUT = r"""
+    SELECT row, {place} AS place, string_split(regexp_replace(text, '({pattern})', chr(57344) || '\1' || chr(57344), 'g'), chr(57344)) AS pieces
+    FROM texts"""
+_SQL_PATTERNS = (
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+)
+#: The base kinds. SQL knows no terms: where the tables tie some to values, ``spans`` and ``n_spans`` differ.
+OP5_SQL = rf"""
+WITH
+texts AS (
+    SELECT row_number() OVER () AS row, doc_id, replace(coalesce(text, ''), chr(57344), chr(1)) AS text FROM documents
+),
+-- Every other piece is a match.
+cut AS ({" UNION ALL".join(_SQL_CUT.format(place=place, pattern=pattern) for place, pattern in enumerate(_SQL_PATTERNS))}
+),
+pieces AS (
+    SELECT row, place, unnest(pieces) AS value, unnest(range(1, len(pieces) + 1)) AS i FROM cut WHERE len(pieces) > 1
+),
+placed AS (
+    SELECT row, place, value, i, CAST(sum(length(value)) OVER (PARTITION BY row, place ORDER BY i) AS BIGINT) AS stop FROM pieces
+),
+matches AS (
+    SELECT row, place, value, stop - length(value) AS start, stop, regexp_replace(value, '[^0-9]', '', 'g') AS digits
+    FROM placed WHERE i % 2 = 0
+),
+valid AS (
+    SELECT row, place, start, stop, ['email', 'ip', 'card', 'phone'][place + 1] || ':' || start || ':' || stop AS span FROM matches
+    WHERE CASE place
+        WHEN 0 THEN TRUE
+        WHEN 1 THEN len(list_filter(string_split(value, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(TRY_CAST(ltrim(x, '0') AS INT), 0) > 255)) = 0
+        WHEN 2 THEN length(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(
+            list_reverse(string_split(digits, '')),
+            lambda x, i: CASE WHEN i % 2 = 1 THEN CAST(x AS INT) ELSE CAST(x AS INT) * 2 - CASE WHEN CAST(x AS INT) > 4 THEN 9 ELSE 0 END END)) % 10 = 0
+        ELSE length(digits) BETWEEN 9 AND 15 END
+),
+listed AS (
+    SELECT row, count(*) FILTER (WHERE place = 0) AS n_email, count(*) FILTER (WHERE place = 1) AS n_ip,
+           count(*) FILTER (WHERE place = 2) AS n_card, count(*) FILTER (WHERE place = 3) AS n_phone, count(*) AS n_spans,
+           string_agg(span, ',' ORDER BY place, start) AS spans
+    FROM valid GROUP BY row
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_spans, 0) AS n_spans
+FROM texts LEFT JOIN listed USING (row)
+"""

@@ -218,3 +218,32 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove all words covered by 35-word windows that occur more than once."""
     return remove_repeated(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+OP10_SQL = r"""
+WITH
+texts AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+words AS (
+    SELECT row, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i, len(w) AS words FROM texts
+),
+runs AS (
+    SELECT row, i, word, CASE WHEN i + 34 <= words
+        THEN string_agg(word, ' ') OVER (PARTITION BY row ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) END AS run
+    FROM words
+),
+starts AS (
+    SELECT row, i, word, run IS NOT NULL AND count(*) OVER (PARTITION BY run) > 1 AS repeated FROM runs
+),
+covered AS (
+    SELECT row, i, word, bool_or(repeated) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+    FROM starts
+),
+kept AS (
+    SELECT row, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept_text
+    FROM covered GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (row)
+"""

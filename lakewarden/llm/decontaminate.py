@@ -6,12 +6,12 @@ and the average length are those of all segments of the benchmark. Every passage
 every document is a query; passages overlap so that any segment lies whole in one. A passage's score
 for a segment is the share of the segment's weight that it holds.
 
-Retrieval is exact, by bounds, and returns what a search of the whole index would. Instead of moving
-one pivot per document, as WAND does, all passages of a slice are bounded at once: the same upper bounds
-per term and block decide, but in numpy, not in a loop over postings. Frequent terms whose greatest weights together stay well below the
+Retrieval is block-max WAND. It is exact and returns what a search of the whole index would. The pivots
+of all passages of a slice move at once, in numpy. Before, passages without a chance are left out by the
+same greatest weights, of terms and of blocks. Frequent terms whose greatest weights together stay well below the
 threshold are not essential: a passage that reaches the threshold must hold essential ones too, so
 only these are looked at first. Passages that may reach it are bounded block by block of segments by
-the greatest weight of each term in the block, and only blocks that may reach it are scored.
+the greatest weight of each term in the block, and pivots are looked for in blocks that may still.
 
 Retrieved items are verified on the text: the share of the word trigrams of the question, and of the
 answer, the item's last sentence, that occur around the passage. Of fewer than three words, the whole
@@ -25,7 +25,8 @@ benchmark takes one pass over the documents per shard. Shards do not change the
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -149,6 +150,7 @@ class Index:
     starts: np.ndarray
     segments: np.ndarray
     weights: np.ndarray
+    keys: np.ndarray
     block: int
     block_max: np.ndarray
     greatest: np.ndarray
@@ -220,7 +222,7 @@ def build_index(items: list[tuple[int, str]], threshold: float = THRESHOLD, stat
     spared = frequent[total <= 0.6 * threshold]
     essential = np.ones(len(terms), bool)
     essential[spared] = False
-    index = Index([n for n, _, _ in kept], np.array(owner), terms, starts, segment, weight, size, block_max, greatest, essential, float(greatest[spared].sum()))
+    index = Index([n for n, _, _ in kept], np.array(owner), terms, starts, segment, weight, number * len(parts) + segment, size, block_max, greatest, essential, float(greatest[spared].sum()))
     for _, text, hashes in kept:
         question, answer = question_and_answer(text)
         own, digits = _words(text)
@@ -230,27 +232,71 @@ def build_index(items: list[tuple[int, str]], threshold: float = THRESHOLD, stat
     return index
 
 
-def _retrieve(index: Index, passages: np.ndarray, terms: np.ndarray, threshold: float) -> Iterator[tuple[int, dict[int, float]]]:
+def _retrieve(index: Index, passages: np.ndarray, terms: np.ndarray, threshold: float) -> Iterable[tuple[int, dict[int, float]]]:
     """(passage, items with a segment of at least ``threshold`` of its weight in it, and the best share).
 
-    ``terms`` are the distinct terms of each of the ``passages``, in order of these.
+    ``terms`` are the distinct terms of each of the ``passages``, in order of these. Block-max WAND: each term
+    has a cursor in its list of segments. The pivot is the first segment, in order of the cursors, up to which
+    the terms' greatest weights reach the threshold; none before it can. Where those of the pivot's block reach
+    it too, the pivot is scored; else the cursors skip to the end of the block or to the next term's segment,
+    whichever comes first, and on to a block that reaches the threshold with all terms of the passage. One
+    step moves the cursors of all passages.
     """
-    starts = np.flatnonzero(np.append(True, np.diff(passages) != 0))
-    ends = np.append(starts[1:], len(passages))
-    bounds = np.add.reduceat(index.block_max[terms], starts, axis=0) >= threshold * (1 - 1e-5)
-    for k in np.flatnonzero(bounds.any(1)).tolist():
-        own = terms[starts[k] : ends[k]]
-        begin, count = index.starts[own], index.starts[own + 1] - index.starts[own]
-        at = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
-        segments = index.segments[at]
-        may = bounds[k][segments // index.block]
-        scores = np.bincount(segments[may], index.weights[at[may]])
-        found: dict[int, float] = {}
-        for segment in np.flatnonzero(scores >= threshold).tolist():
-            item = int(index.owner[segment])
-            found[item] = max(found.get(item, 0.0), float(scores[segment]))
-        if found:
-            yield int(passages[starts[k]]), found
+    count, bar = len(index.owner), threshold * (1 - 1e-5)
+    starts = np.flatnonzero(np.append(True, passages[1:] != passages[:-1]))
+    numbers = passages[starts]
+    reach = np.add.reduceat(index.block_max[terms], starts, axis=0) >= bar
+    # The first segment of the next block in reach, from each block on.
+    ahead = np.where(reach, np.arange(reach.shape[1]) * index.block, count)
+    ahead = np.append(np.minimum.accumulate(ahead[:, ::-1], axis=1)[:, ::-1], np.full((len(reach), 1), count), axis=1)
+    passages = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(passages))))
+    rows = ahead[passages, 0] < count
+    passages, terms = passages[rows], terms[rows]
+    ends, found = index.starts[terms + 1], defaultdict(dict)
+
+    def moved(terms: np.ndarray, ends: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and segment of each term's first posting from a segment on; ``count`` at the end."""
+        at = np.searchsorted(index.keys, terms * count + to)
+        return at, np.where(at < ends, index.segments[np.minimum(at, len(index.segments) - 1)], count)
+
+    head = moved(terms, ends, ahead[passages, 0])[1]
+    while len(passages):
+        order = np.lexsort((head, passages))
+        passages, terms, ends, head = passages[order], terms[order], ends[order], head[order]
+        starts = np.flatnonzero(np.append(True, passages[1:] != passages[:-1]))
+        sizes = np.diff(np.append(starts, len(passages)))
+        sums = np.cumsum(np.where(head < count, index.greatest[terms], 0.0))
+        sums -= np.repeat(np.append(0.0, sums[starts[1:] - 1]), sizes)
+        pivot = np.minimum.reduceat(np.where(sums >= bar, head, count), starts)
+        # Passages without a pivot are done.
+        going = pivot < count
+        rows = np.repeat(going, sizes)
+        passages, terms, ends, head = passages[rows], terms[rows], ends[rows], head[rows]
+        pivot, sizes = pivot[going], sizes[going]
+        if not len(pivot):
+            return found.items()
+        starts, here = np.cumsum(sizes) - sizes, np.repeat(pivot, sizes)
+        upto = head <= here
+        block = pivot // index.block
+        most = np.add.reduceat(np.where(upto, index.block_max[terms, np.repeat(block, sizes)], 0.0), starts)
+        score = most >= bar
+        next_head = np.minimum.reduceat(np.where(upto, count, head), starts)
+        skip = np.minimum((block + 1) * index.block, next_head)
+        skip = np.maximum(skip, ahead[passages[starts], skip // index.block])
+        to = np.repeat(np.where(score, pivot, skip), sizes)
+        move = np.flatnonzero(upto)
+        at, head[move] = moved(terms[move], ends[move], to[move])
+        # The cursors that stand on a scored pivot go one further.
+        on = np.repeat(score, sizes)[move] & (head[move] == to[move])
+        hit, at = move[on], at[on]
+        shares = np.zeros(len(head))
+        shares[hit] = index.weights[at]
+        shares = np.add.reduceat(shares, starts)
+        head[hit] = moved(terms[hit], ends[hit], to[hit] + 1)[1]
+        for k in np.flatnonzero(shares >= threshold).tolist():
+            best, item = found[int(numbers[passages[starts[k]]])], int(index.owner[pivot[k]])
+            best[item] = max(best.get(item, 0.0), float(shares[k]))
+    return found.items()
 
 
 def _matches(index: Index, slots: np.ndarray, texts: pa.Array, threshold: float) -> Iterator[tuple[int, int, float, float, float]]:

@@ -88,3 +88,33 @@ def test_numbers_are_one_word_however_they_are_written():
     other = leaked.replace("12000", "15000")
     found = {(row, index.items[i]) for row, i, *_ in dc._matches(index, index.slots(), pa.array([leaked, other]), dc.THRESHOLD)}
     assert found == {(0, 1)}
+
+
+@pytest.mark.parametrize("blocks", [1, 7, 10_000])
+@pytest.mark.parametrize("threshold", [0.15, 0.4, 0.8])
+def test_pivots_find_what_scoring_every_segment_finds(monkeypatch, blocks, threshold):
+    monkeypatch.setattr(dc, "BLOCKS", blocks)
+    index, rng = dc.build_index([*ITEMS, *[(100 + n, text) for n, text in ITEMS[:5]]], threshold), random.Random(33)
+    count = len(index.owner)
+    numbers, terms, expected = [], [], {}
+    for number in range(3, 400, 2):
+        at = rng.randrange(count)
+        there = np.flatnonzero(index.segments == at)
+        own = np.searchsorted(index.starts, there, side="right") - 1
+        own = own[[rng.random() < 0.5 for _ in own]].tolist() + rng.choices(range(len(index.terms)), k=30)
+        own = np.unique(own)
+        scores = np.zeros(count)
+        for term in own:
+            postings = slice(index.starts[term], index.starts[term + 1])
+            scores[index.segments[postings]] += index.weights[postings]
+        best = {}
+        for segment in np.flatnonzero(scores >= threshold):
+            item = int(index.owner[segment])
+            best[item] = max(best.get(item, 0), scores[segment])
+        if best:
+            expected[number] = best
+        numbers += [number] * len(own)
+        terms += own.tolist()
+    found = dict(dc._retrieve(index, np.array(numbers), np.array(terms), threshold))
+    assert expected and {n: found[n].keys() for n in found} == {n: expected[n].keys() for n in expected}
+    assert all(found[n][item] == pytest.approx(score) for n, best in expected.items() for item, score in best.items())

@@ -60,6 +60,10 @@ def sample_key(*columns: str) -> Column:
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
+#: What workers keep for later tasks of one kind. Tasks that read texts without it drop it.
+KEPT: list[dict] = []
+
+
 def give_back() -> None:
     """Return memory of earlier batches to the system: a worker lives longer than its task."""
     pa.default_memory_pool().release_unused()
@@ -69,6 +73,8 @@ def give_back() -> None:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the offsets of its rows; null is empty."""
+    for kept in KEPT:
+        kept.clear()
     give_back()
     column = pc.fill_null(column, "").cast(pa.large_string())
     _, offsets, data = column.buffers()

@@ -21,6 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
+from lakewarden.llm.common import KEPT
+
 #: Text encoded at a time, and the size above which one text is encoded in parts.
 SLICE_CHARS = 6_000_000
 #: Pieces a worker remembers before it starts anew.
@@ -199,6 +201,7 @@ def _parts(text: str) -> Iterator[str]:
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}
+KEPT.append(_ENCODERS)
 
 
 def encoder(path: str) -> CachedEncoder:

@@ -71,6 +71,17 @@ def give_back() -> None:
         _trim(0)
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows``; a worker gives back the memory of the last one, too.
+
+    For jobs that begin where no setting of this library holds any more, see ``small_batches``.
+    """
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+    give_back()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the offsets of its rows; null is empty."""
     for kept in KEPT:

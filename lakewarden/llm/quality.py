@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import SLICE_BYTES, remainder, sample_key, saved, sigmoid, slices, table, utf8, words_of
+from lakewarden.llm.common import SLICE_BYTES, in_parts, remainder, sample_key, saved, sigmoid, slices, table, utf8, words_of
 
 SHAPES = 256
 SOURCES, LANGS, LENGTHS = 64, 16, 24
@@ -178,7 +178,7 @@ def co_train(views: list[np.ndarray], label: np.ndarray, rounds: int, sure: floa
 
 
 def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         features = pa.array(list(text_view(batch.column("text"))), pa.list_(pa.float32()))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label"), features, batch.column("page_view")],
@@ -241,7 +241,7 @@ def score_documents(docs: DataFrame, model: QualityModel | None) -> DataFrame:
 
 
 def _mark(model: QualityModel, threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         both = model.views(text_view(batch.column("text")), _page_matrix(_places(batch.columns[-1])))
         keep = sigmoid(model.combined.margin(both)) >= threshold
         yield batch.select(batch.schema.names[:-1]).filter(pa.array(keep))

@@ -32,3 +32,14 @@ def test_a_clashing_column_of_the_quality_stage(spark):
     kept = quality.keep_good(docs, quality.fit(docs, labels), 0.0)
     assert kept.columns == docs.columns
     assert sorted(kept.collect()) == sorted(docs.collect())
+
+
+def test_the_quality_stage_works_on_parts_of_a_batch(spark):
+    rows = [(n, f"text number {n} of many " * (n % 7), "en", "s", n % 90) for n in range(2500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(500)], "doc_id bigint, quality int")
+    model = quality.fit(docs, labels)
+    batch = docs.select("*", quality.page_view()).toArrow().combine_chunks().to_batches()[0]
+    parts = list(quality._mark(model, 0.0, iter([batch])))
+    assert [part.num_rows for part in parts] == [1000, 1000, 500]
+    assert pa.Table.from_batches(parts).column("doc_id").to_pylist() == batch.column("doc_id").to_pylist()

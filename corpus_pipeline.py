@@ -1,6 +1,7 @@
 """From raw documents to packed training sequences: five stages, each on all that the one before kept.
 
-Each stage takes ``(spark, docs, sf_dir)``. All but the last return the columns of documents.
+Each stage takes ``(spark, docs, sf_dir)``. All but the last return the columns of documents. A stage first has
+the executors give back the heap that the ones before have left full of garbage.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewarden.llm import decontaminate, neardup, packing, pii, quality
-from lakewarden.llm.common import saved, table
+from lakewarden.llm.common import return_heap, saved, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,6 +21,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Null texts are judged as empty ones, rows that repeat are judged alike, and without labels all stay.
     """
+    return_heap(spark)
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -34,6 +36,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, linked:
     Rows without an id have no duplicates and stay; rows that repeat a kept id stay together. Null and
     empty texts have no duplicates; an empty table stays empty.
     """
+    return_heap(spark)
     dropped = neardup.near_duplicates(docs, linked).where(~F.col("kept")).select("doc_id").distinct()
     dropped = saved(dropped, "near-duplicate-ids")
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
@@ -41,11 +44,13 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, linked:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item; null and empty texts hold none, rows that repeat go together."""
+    return_heap(spark)
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data and the terms that disclose it; ``n_chars`` becomes the new length."""
+    return_heap(spark)
     clean = pii.sanitize(docs)
     return clean.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in docs.columns else clean
 
@@ -55,6 +60,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Null and empty texts are one piece, their end id; rows that repeat are packed each.
     """
+    return_heap(spark)
     # Workers of earlier stages still hold some memory; small batches leave it to them.
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), batch_rows=300)
 

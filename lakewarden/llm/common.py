@@ -71,6 +71,17 @@ def give_back() -> None:
         _trim(0)
 
 
+def return_heap(spark: SparkSession) -> None:
+    """Have the executors collect their garbage, so that a job starts with the heap in use and no more.
+
+    A JVM keeps all heap it once took until a full collection, however little of it is in use, and the
+    workers' memory comes on top. One task for each core, while no other job runs, reaches all executors;
+    one that gets none only keeps its heap.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).select(F.java_method(F.lit("java.lang.System"), F.lit("gc"))).collect()
+
+
 def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most ``rows``; a worker gives back the memory of the last one, too.
 
